@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -41,8 +42,8 @@ def _parquet_groups(spark: SparkSession, paths: list[str]) -> dict[str, tuple[T.
     try:
         merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
         return {merged.json(): (merged, paths)}
-    except PySparkException as error:
-        if len(paths) == 1 or "MERGE_SCHEMA" not in f"{error.getCondition()} {error}".upper():
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     half = len(paths) // 2
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
@@ -107,18 +108,19 @@ def count_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             reader = spark.read.option("ignoreCorruptFiles", "true").option("header", "true")
             parts.append(reader.schema("line string").csv(kinds[kind]))
     counted = [
-        p.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows"))
+        p.select(_plain("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows"))
         for p in parts
     ]
-    asked = spark.createDataFrame([(_uri(p),) for p in paths], "path string")
+    asked = spark.read.format("binaryFile").load(list(paths)).select(_plain("path").alias("path"))
     return (
         asked.join(reduce(DataFrame.unionByName, counted), "path", "left")
         .select("path", F.coalesce("rows", F.lit(0)).alias("rows"))
     )
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else "file://" + path
+def _plain(path: str) -> Column:
+    """Local paths are listed with one slash after the scheme and scanned with three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def estimate_rows(df: DataFrame) -> int:
