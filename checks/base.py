@@ -53,9 +53,9 @@ STATEMENT_COLUMNS = {
     "uuid": "concat('u', cast(event_id as string))",
     "category": (
         "concat('STATEMENT_CATEGORY_', case when event_id % 1000 = 0 then 'RARE' "
-        "when event_type = 'view' then 'OTHER_VIOLATION_TC' else upper(event_type) end)"
+        "when event_type = 'view' then 'OTHER_VIOLATION_TC' else concat('ON_', upper(event_type)) end)"
     ),
-    "category_specification": "upper(event_type)",
+    "category_specification": "concat('ON_', upper(event_type))",
     "platform_name": (
         "case when user_id = 149 then null when user_id < 50 then 'p0' "
         "else concat('p', cast(user_id % 20 as string)) end"

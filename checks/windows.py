@@ -108,3 +108,11 @@ def split_by_date(spark: SparkSession, sf: str) -> DataFrame:
   > floor((select count(*) from events) * 0.7) as is_test from events""")
 def split_by_time(spark: SparkSession, sf: str) -> DataFrame:
     return chrono_split(table(spark, sf, "events"), "ts", "event_id", 0.3).select("event_id", "is_test")
+
+
+@query("W10", f"""{ST}, d as (select row_id, {APP} as dt from st where {APP} is not null)
+  select row_id, row_number() over (order by dt, row_id) > floor((select count(*) from d) * 0.8) as is_test from d""")
+def split_crowded_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The same split found by narrowing down, as for a day too full to sort; all rows of a day share one moment."""
+    rows = statements(spark, sf).select("row_id", parse.lenient_timestamp("application_date").alias("dt"))
+    return chrono_split(rows.where("dt is not null"), "dt", "row_id", sortable=10).select("row_id", "is_test")

@@ -34,15 +34,31 @@ def list_items(col: Column | str) -> Column:
     return F.when(text.rlike(_BRACKETED), F.from_json(json, "array<string>", _JSON_OPTIONS))
 
 
+# Flat lists without escapes are read by regular expressions, which is about ten times cheaper than a JSON parse.
+_ITEM = r"""'[^'\\]*+'|"[^"\\]*+"|None|True|False|-?\d++(?:\.\d++)?+"""
+_FLAT_LIST = rf"^\s*+\[\s*+(?:(?:{_ITEM})\s*+(?:,\s*+|(?=\])))*+\]\s*+$"
+_BLANKS = " \t\n\r\x0b\x0c"
+
+
 def list_first(col: Column | str) -> Column:
     """First item, stripped; null on null, empty or malformed text."""
-    return F.trim(F.get(list_items(col), F.lit(0)))
+    text = _col(col).cast("string")
+    item = F.regexp_extract(text, rf"^\s*+\[\s*+({_ITEM})", 1)
+    quoted = item.startswith("'") | item.startswith('"')
+    flat = F.when(quoted, F.substring(item, F.lit(2), F.length(item) - 2)).when(
+        (item != "") & (item != "None"), F.lower(item)
+    )
+    first = F.when(text.rlike(_FLAT_LIST), flat).when(text.rlike(_BRACKETED), F.get(list_items(text), F.lit(0)))
+    return F.btrim(first, F.lit(_BLANKS))
 
 
 def list_count(col: Column | str) -> Column:
     """Number of items; 0 on null, empty or malformed text."""
-    items = list_items(col)
-    return F.when(items.isNull(), F.lit(0)).otherwise(F.size(items)).cast("int")
+    text = _col(col).cast("string")
+    count = F.when(text.rlike(_FLAT_LIST), F.regexp_count(text, F.lit(_ITEM))).when(
+        text.rlike(_BRACKETED), F.size(list_items(text))
+    )
+    return F.coalesce(F.when(count >= 0, count), F.lit(0)).cast("int")
 
 
 def lenient_timestamp(col: Column | str) -> Column:

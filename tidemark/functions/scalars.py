@@ -37,7 +37,7 @@ def strip_prefix(col: Column | str, prefix: str) -> Column:
 
 
 def safe_div(a: Column, b: Column) -> Column:
-    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    return F.when(b > 0, F.try_divide(a, b)).otherwise(F.lit(0.0))
 
 
 def f1_score(precision: Column, recall: Column) -> Column:

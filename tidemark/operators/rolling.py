@@ -147,7 +147,7 @@ def rolling(
     return done.select(
         *df.columns,
         F.when(frame, volume).otherwise(COLD[0]).cast("long").alias(prefix + VOLUME),
-        F.when(frame, read("auto") / volume).otherwise(COLD[1]).alias(prefix + FRACTION),
+        F.when(frame, F.try_divide(read("auto"), volume)).otherwise(COLD[1]).alias(prefix + FRACTION),
         F.when(frame, read("div")).otherwise(COLD[2]).cast("long").alias(prefix + DIVERSITY),
     )
 

@@ -32,11 +32,15 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def is_small(dim: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the measured size of a (stored) dimension allows a broadcast."""
+    return (dim.agg(F.sum(_row_bytes(dim).cast("long"))).first()[0] or 0) <= limit
+
+
 def measured(dim: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Materialise a dimension once and say whether its measured size allows a broadcast."""
+    """Materialise a dimension once and say whether it is small."""
     kept = checkpointed(dim)
-    size = kept.agg(F.sum(_row_bytes(kept).cast("long"))).first()[0] or 0
-    return kept, size <= limit
+    return kept, is_small(kept, limit)
 
 
 def hot_values(df: DataFrame, key: str, share: float = 0.005) -> list:
@@ -56,13 +60,15 @@ def lookup(
     spread_by: Sequence[str] = (),
     limit: int = BROADCAST_BYTES,
     salts: int = 64,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join `df` to a dimension that is unique on `on`.
 
     A dimension of measured small size is broadcast. A larger one is joined by shuffle, with the hot
-    keys of `df` spread over `salts` copies of their (single) dimension row.
+    keys of `df` spread over `salts` copies of their (single) dimension row. Say `small` where `dim` is part of a
+    stored table that was measured before.
     """
-    kept, small = measured(dim, limit)
+    kept, small = measured(dim, limit) if small is None else (dim, small)
     if small:
         return df.join(F.broadcast(kept), on, how)
     hot = hot_values(df, on)

@@ -16,20 +16,23 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Recording a call site for every column expression costs more than planning the expression.
+DRIVER_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def get_spark(master: str | None = None, app: str = "tidemark", **conf: str) -> SparkSession:
     """Build a session; on a cluster leave `master` to spark-submit."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
+    for key, value in {**RUNTIME_SETTINGS, **DRIVER_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session someone else built."""
-    for key, value in RUNTIME_SETTINGS.items():
+    for key, value in {**RUNTIME_SETTINGS, **DRIVER_SETTINGS}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -63,3 +66,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write `df` once to a Parquet table in the shared folder and read it back: lineage is cut, columns stay prunable."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
