@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.session import checkpointed
 
@@ -45,11 +46,11 @@ def measured(dim: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, b
 
 def hot_values(df: DataFrame, key: str, share: float = 0.005) -> list:
     """Values holding more than `share` of the rows: never more than 1/share of them."""
-    seen = Observation()
-    counts = df.groupBy(key).count().observe(seen, F.sum("count").alias("rows"))
-    top = counts.orderBy(F.desc("count")).limit(int(1 / share)).collect()
-    total = seen.get["rows"] or 0
-    return [r[0] for r in top if r[0] is not None and r["count"] > share * total]
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
+    if not total or largest <= share * total:
+        return []
+    return [r[0] for r in counts.where(F.col("count") > share * total).collect()]
 
 
 def lookup(
@@ -94,20 +95,17 @@ def with_cells(
     columns into cells of about `max_rows` rows. `order` must be unique inside a group. The cut points decide
     only the balance, never a result; they are literals once drawn, so a retried task sees the same cells.
     """
-    seen = Observation()
-    sizes = df.groupBy(*keys).count().observe(seen, F.sum("count").alias("rows"))
-    top = sizes.orderBy(F.desc("count")).limit(HOT_GROUPS).collect()
-    total = seen.get["rows"] or 0
-    ceiling = max(max_rows, total // HOT_GROUPS)
-    hot = [r for r in top if r["count"] > ceiling]
-    if not hot:
+    sizes = df.groupBy(*keys).count()
+    total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
+    ceiling = max(max_rows, (total or 0) // HOT_GROUPS)
+    if not total or largest <= ceiling:
         return df.withColumn(cell, F.lit(0))
+    hot = sizes.where(F.col("count") > ceiling).collect()  # fewer than HOT_GROUPS, by the choice of ceiling
 
     spark = df.sparkSession
     key_types = [df.schema[k] for k in keys]
     hot_schema = T.StructType([*key_types, T.StructField("_rows", T.LongType())])
     hot_keys = spark.createDataFrame([(*[r[k] for k in keys], r["count"]) for r in hot], hot_schema)
-    point = F.struct(*order)
     same_group = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
     in_hot = df.alias("l").join(F.broadcast(hot_keys).alias("h"), same_group, "inner")
     # Keep about SAMPLE_PER_CELL rows per future cell, then cut at every SAMPLE_PER_CELL-th of them.
@@ -126,14 +124,22 @@ def with_cells(
     drawn = cuts.collect()  # at most 2 * HOT_GROUPS cut points in all
     if not drawn:
         return df.withColumn(cell, F.lit(0))
-    cut_rows = [tuple(r[k] for k in keys) + (r["_cuts"],) for r in drawn]
-    table = spark.createDataFrame(cut_rows, cuts.schema)
+    width = math.isqrt(max(len(r["_cuts"]) for r in drawn)) + 1
+    cut_rows = [(*[r[k] for k in keys], r["_cuts"], r["_cuts"][::width]) for r in drawn]
+    table = spark.createDataFrame(cut_rows, T.StructType([*cuts.schema, T.StructField("_marks", cuts.schema["_cuts"].dataType)]))
     joined = df.alias("l").join(
         F.broadcast(table).alias("h"), [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys], "left"
     )
-    passed = F.size(F.filter(F.col("h._cuts"), lambda at: at <= F.struct(*[F.col(f"l.{c}") for c in order])))
-    number = F.when(F.col("h._cuts").isNull(), 0).otherwise(passed).cast("int")
-    return joined.select("l.*", number.alias(cell))
+    here = F.struct(*[F.col(f"l.{c}") for c in order])
+
+    def passed(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda at: at <= here))
+
+    # Every width-th cut is a mark: count the marks passed, then the cuts passed behind the last of them.
+    marks = joined.withColumn("_mark", passed(F.col("h._marks")) - 1)
+    block = F.slice(F.col("h._cuts"), F.col("_mark") * width + 1, F.lit(width))
+    number = F.when(F.col("_mark") >= 0, F.col("_mark") * width + passed(block)).otherwise(0)
+    return marks.select("l.*", F.coalesce(number, F.lit(0)).cast("int").alias(cell, metadata={"cut": True}))
 
 
 def running_sums(
@@ -183,8 +189,8 @@ def place(df: DataFrame, keys: Sequence[str], cell: str = "_cell") -> DataFrame:
 
 
 def _is_cut(df: DataFrame, cell: str) -> bool:
-    """Whether `with_cells` cut anything: an uncut frame carries the constant 0 there."""
-    return df.schema[cell].nullable
+    """Whether `with_cells` had to cut any group."""
+    return bool(df.schema[cell].metadata.get("cut"))
 
 
 def group_rank(
