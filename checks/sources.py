@@ -32,7 +32,7 @@ def read_csv_and_gzip(spark: SparkSession, sf: str) -> DataFrame:
     rows.where("c_custkey % 2 = 1").write.option("header", "true").option("compression", "gzip").csv(f"{root}/zip")
     paths = [r["path"] for r in files.discover(spark, root).collect()]
     read = files.read_statements(spark, paths)
-    return read.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return read.select(F.col("c_custkey").cast("long"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @query("A3", " union all ".join(f"select '{t}.parquet' as name" for t in TABLES))

@@ -86,7 +86,7 @@ def rolling_warm_start(spark: SparkSession, sf: str) -> DataFrame:
     return stats(batch, history=history)
 
 
-@query("W9 C15", f"{ST} select row_id as id, 0 as volume, 0.0 as fraction, 1 as diversity from st")
+@query("W9 C15", f"{ST} select row_id as id, 0 as volume, cast(0.0 as double) as fraction, 1 as diversity from st")
 def rolling_day_precision(spark: SparkSession, sf: str) -> DataFrame:
     rows = fe.derive(statements(spark, sf).drop("created_at"))
     out = fe.with_rolling(rows)

@@ -24,8 +24,9 @@ def test_widening():
 
 
 def test_merged_columns_are_sorted_old_before_new():
-    a = T.StructType().add("z", "int").add("b", "int")
-    b = T.StructType().add("y", "int").add("a", "int").add("z", "string")
+    number = T.IntegerType()
+    a = T.StructType().add("z", number).add("b", number)
+    b = T.StructType().add("y", number).add("a", number).add("z", T.StringType())
     merged = schema.merge_schemas([a, b])
     assert [(f.name, f.dataType.simpleString()) for f in merged] == [
         ("b", "int"), ("z", "string"), ("a", "int"), ("y", "int")
