@@ -134,10 +134,6 @@ def key_dupes(df: DataFrame, key: str) -> DataFrame:
     return sizes.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
-def missing_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols])
-
-
 # --- time ranges -----------------------------------------------------------------------
 
 
