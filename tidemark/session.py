@@ -16,7 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-# Recording a call site for every column expression costs more than planning the expression.
+# Recording a call site for every column expression costs more than planning the expression. A static setting: only
+# a session built here has it.
 DRIVER_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
@@ -32,7 +33,7 @@ def get_spark(master: str | None = None, app: str = "tidemark", **conf: str) ->
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session someone else built."""
-    for key, value in {**RUNTIME_SETTINGS, **DRIVER_SETTINGS}.items():
+    for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
