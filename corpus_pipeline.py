@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import quality_rules
+from tidemark.llm import decontaminate, near_dup, quality_rules, secret_scan, sentence_pieces
+from tidemark.llm.queries import table
+from tidemark.llm.workers import importable
 from tidemark.session import scratch_path, tune
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -12,17 +14,46 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rated = quality_rules.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rated = quality_rules.rate(docs, table(spark, sf_dir, "labels"))
     return rated.where("kept").select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality)]
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    tune(importable(spark))
+    return near_dup.keep_one(docs).select(*COLUMNS)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked."""
+    tune(spark)
+    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of every document."""
+    tune(importable(spark))
+    return sentence_pieces.with_pieces(docs).select("doc_id", "lang", "source", "n_pieces", "piece_ids")
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dup", one_of_each),
+    ("decontaminate", no_benchmark),
+    ("secret_scan", no_secrets),
+    ("sentence_pieces", pieces),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
-    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -1,0 +1,73 @@
+import base64
+import gzip
+import hashlib
+import io
+import json
+
+from pyarrow import fs
+
+from tidemark.llm import warc as w
+from tidemark.session import scratch_path
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def brute(rows, least=0):
+    first = {}
+    for r in rows:
+        key = r.html or ""
+        if r.page_id is not None:
+            first[key] = min(first.get(key, r.page_id), r.page_id)
+    out = []
+    for r in rows:
+        key = r.html or ""
+        size = len(key.encode())
+        again = size >= least and key in first and r.page_id != first[key]
+        out.append((str(r.page_id), size, digest(key), "revisit" if again else "response", str(first[key]) if again else "None"))
+    return sorted(out)
+
+
+def result(df):
+    return sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in df.collect())
+
+
+def test_same_as_brute_force(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    found = w.round_trip(pages)
+    assert result(found) == brute(pages.collect())
+    html = {r.page_id: r.html for r in pages.collect()}
+    assert all(r.payload.decode() == html[r.page_id] for r in found.where("record_type = 'response'").collect())
+
+
+def test_odd_pages(spark):
+    rows = [(3, "http://a/ b\r\nX: y", "same"), (1, None, "same"), (1, None, "same"), (None, "u", "same"), (7, "é", None), (6, "u", ""), (None, None, "lone"), (None, None, "lone"), (9, "u", "x\r\n\r\nWARC/1.1\r\n" * 9), (8, "u", "z" * 3_000_000)]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, record_type string")
+    assert result(w.round_trip(pages)) == brute(pages.collect())
+    assert result(w.round_trip(pages, least_bytes=5)) == brute(pages.collect(), 5)
+    assert w.round_trip(pages.limit(0)).count() == 0
+
+
+def test_members_stand_alone(spark, sf):
+    pages = w.with_record_types(spark.read.parquet(f"{sf}/pages.parquet"))
+    archives = w.write_archives(pages, scratch_path(spark, "warc"))
+    members = w.normalise(archives)
+    total = 0
+    for r in members.collect():
+        system, path = fs.FileSystem.from_uri(r.file)
+        raw = system.open_input_stream(path, compression=None).read()
+        index = [json.loads(x) for x in system.open_input_stream(fs.FileSystem.from_uri(r.index)[1], compression=None).read().splitlines()]
+        assert sum(e["length"] for e in index) == len(raw) and len(index) == r.records
+        whole = b"".join(gzip.decompress(raw[e["offset"] : e["offset"] + e["length"]]) for e in index)
+        assert whole == gzip.decompress(raw)
+        total += len(index)
+    assert total == pages.count() == sum(r.records for r in archives.collect())
+
+
+def test_normalise_file_keeps_bytes():
+    body = [w.record({"page_id": k, "url": None, "html": "h" * k, "record_type": "response", "refers_to": None}) for k in (0, 1, 5000)]
+    for source in (gzip.compress(b"".join(body)), b"".join(gzip.compress(b) for b in body)):
+        out = io.BytesIO()
+        entries = list(w.normalise_file(io.BytesIO(source), out))
+        assert [gzip.decompress(out.getvalue()[e["offset"] :][: e["length"]]) for e in entries] == body
