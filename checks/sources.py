@@ -35,6 +35,25 @@ def read_csv_and_gzip(spark: SparkSession, sf: str) -> DataFrame:
     return read.select(F.col("c_custkey").cast("long"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+QUOTED = """select event_id, case when event_id % 3 = 0 then '["AT", "DE"]' when event_id % 3 = 1 then 'say "hi", ok'
+  else 'back\\slash, x' end as scope, concat('00', cast(event_id as {text})) as code, case when event_id % 5 = 0 then null
+  else value end as value from events"""
+
+
+@query("A2 A11", QUOTED.format(text="varchar"))
+def quoted_csv_with_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Doubled quotes, backslashes and leading zeros; the second file has its columns in another order."""
+    root = scratch_path(spark, "quoted")
+    table(spark, sf, "events").createOrReplaceTempView("events_for_csv")
+    rows = spark.sql(QUOTED.format(text="string").replace("\\", "\\\\").replace("from events", "from events_for_csv"))
+    style = {"header": "true", "quote": '"', "escape": '"'}
+    rows.where("event_id % 2 = 0").write.options(**style).csv(f"{root}/one")
+    rows.where("event_id % 2 = 1").select("code", "value", "event_id", "scope").write.options(**style).csv(f"{root}/two")
+    paths = [r["path"] for r in files.discover(spark, root).collect()]
+    schema = T.StructType.fromDDL("event_id long, scope string, code string, value double")
+    return files.read_statements(spark, paths, schema)
+
+
 @query("A3", " union all ".join(f"select '{t}.parquet' as name" for t in TABLES))
 def discover_files(spark: SparkSession, sf: str) -> DataFrame:
     return files.discover(spark, sf).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"))
@@ -166,7 +185,14 @@ def every_fourth_csv_row(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.stride_sample(rows, 4, F.col("row_index")).select("event_id")
 
 
-@query("B2")
+def draw_sql(*cols: str) -> str:
+    """The draw of a row in [0, 1), from the same digest."""
+    text = ", ".join([*[f"cast({c} as varchar)" for c in cols], "'42'"])
+    return f"(cast('0x' || substr(md5(concat_ws('|', {text})), 1, 8) as bigint) / 4294967296.0)"
+
+
+@query("B2", f"""with e as (select event_id, cast(ts as date) as day from events)
+  select day, count(*) as kept from e where {draw_sql('event_id', 'day')} < 0.7 group by day""")
 def hash_sampled_events(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     return sampling.hash_sample(rows, "event_id", 0.7, by=["day"]).groupBy("day").agg(F.count("*").alias("kept"))
@@ -179,7 +205,8 @@ def stratified_events(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.stratified_sample(rows, "event_type", 300, "event_id", order=["event_id"])
 
 
-@query("B5")
+@query("B5", f"""select event_type, {', '.join(f"cast(sum(case when {draw_sql('event_id')} < {f} then 1 else 0 end) as bigint) as kept_{n}"
+  for n, f in (('ninth', 1 / 9), ('third', 1 / 3), ('all', 1.0)))} from events group by event_type""")
 def nested_samples(spark: SparkSession, sf: str) -> DataFrame:
     draw = sampling.hash_draw("event_id")
     return table(spark, sf, "events").groupBy("event_type").agg(
@@ -206,16 +233,12 @@ def feature_group_round_trip(spark: SparkSession, sf: str) -> DataFrame:
   incompatible_content_explanation, case when row_id % 3 <> 0 then decision_facts end as decision_facts from st""")
 def joined_feature_view(spark: SparkSession, sf: str) -> DataFrame:
     """Four bucketed groups joined by key; the third text group lacks a third of the keys."""
-    root = scratch_path(spark, "view").replace("-", "_")
-    rows = statements(spark, sf).withColumn("number", F.col("row_id")).withColumn("row_id", F.col("uuid"))
-    tag = root.rsplit("_", 1)[1]
-    base = store.write_feature_group(rows.select("row_id", "platform_name"), root, f"struct_{tag}", 1, "row_id", buckets=8)
+    root = scratch_path(spark, "view")
     texts = ["incompatible_content_ground", "incompatible_content_explanation", "decision_facts"]
-    names = []
-    for i, text in enumerate(texts):
-        own = rows.where("number % 3 <> 0") if text == "decision_facts" else rows
-        names.append(store.write_feature_group(own.select("row_id", text), root, f"text{i}_{tag}", 1, "row_id", buckets=8))
-    return store.feature_view(spark.table(base), [spark.table(n) for n in names], "row_id")
+    facts = F.when(F.col("row_id") % 3 != 0, F.col("decision_facts"))
+    rows = statements(spark, sf).withColumn("decision_facts", facts).withColumn("row_id", F.col("uuid"))
+    name = f"view_{root.rsplit('-', 1)[1]}"  # catalog names hold no hyphen; the folder keeps its own
+    return store.write_feature_store(rows.select("row_id", "platform_name", *texts), root, name, 1, "row_id", texts, buckets=8)
 
 
 @query("J2", """select event_id, l.quality from events left join labels l on l.doc_id = event_id""")

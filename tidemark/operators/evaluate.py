@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.scalars import f1_band, f1_score, safe_div
-from tidemark.operators.skew import GROUP_ROWS, group_rank, running_sums, with_cells
+from tidemark.operators.skew import GROUP_ROWS, group_rank, is_small, running_sums, with_cells
 
 ERROR_LABEL = "ERROR"  # fixed value: the prediction of a row that could not be scored
-MAX_CLASSES = 10_000
 
 
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -21,13 +20,10 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def class_names(pairs: DataFrame, limit: int = MAX_CLASSES) -> list[str]:
-    """Sorted labels seen as actual or predicted. More than `limit` are refused, not cut."""
+def class_names(pairs: DataFrame) -> list[str]:
+    """Sorted labels seen as actual or predicted."""
     names = pairs.select(F.explode(F.array("actual", "predicted")).alias("class")).distinct()
-    rows = names.orderBy("class").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} classes")
-    return [r["class"] for r in rows]
+    return [r["class"] for r in names.orderBy("class").collect()]
 
 
 def full_confusion(pairs: DataFrame, classes: Sequence[str] | None = None) -> DataFrame:
@@ -37,7 +33,7 @@ def full_confusion(pairs: DataFrame, classes: Sequence[str] | None = None) -> Da
     cells = spark.createDataFrame([(c,) for c in classes], "actual string").withColumn(
         "predicted", F.explode(F.array(*[F.lit(c) for c in classes]))
     )
-    filled = cells.join(F.broadcast(pairs) if len(classes) <= 1000 else pairs, ["actual", "predicted"], "left")
+    filled = cells.join(F.broadcast(pairs) if is_small(pairs) else pairs, ["actual", "predicted"], "left")
     n = F.coalesce("n", F.lit(0))
     total = F.sum(n).over(Window.partitionBy("actual"))
     return filled.select("actual", "predicted", n.alias("n"), safe_div(n, total).alias("share"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.skew import GROUP_ROWS, group_rank
 
-_HASH_STEPS = 1 << 30
+_HASH_STEPS = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -46,8 +46,9 @@ def with_file_position(df: DataFrame, name: str = "row_index", max_rows: int = G
 
 
 def hash_draw(*cols: Column | str, seed: int = 42) -> Column:
-    """A number in [0, 1) that depends on the row id and the seed alone, not on order or partitioning."""
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(_HASH_STEPS)) / float(_HASH_STEPS)
+    """A number in [0, 1) that depends on the row id and the seed alone, not on order, partitioning or engine."""
+    text = F.concat_ws("|", *[(c if isinstance(c, Column) else F.col(c)).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / float(_HASH_STEPS)
 
 
 def hash_sample(

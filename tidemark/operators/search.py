@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.evaluate import evaluate
-from tidemark.operators.sampling import hash_sample
+from tidemark.operators.sampling import hash_draw
+from tidemark.operators.skew import group_rank
 
 # A candidate's maker: (train rows, parameters) -> function from rows to rows with a `predicted` column.
 Maker = Callable[[DataFrame, Mapping], Callable[[DataFrame], DataFrame]]
@@ -82,6 +83,20 @@ def rounds(n: int, factor: int) -> list[int]:
     return sizes
 
 
+def class_sample(df: DataFrame, key: str, label: str, fold: str, fraction: float, seed: int = 42) -> DataFrame:
+    """About `fraction` of the rows of each class in each fold, at least one; smaller fractions are subsets of larger.
+
+    A class with rows in every fold keeps rows in every fold, however rare it is.
+    """
+    if fraction >= 1:
+        return df
+    drawn = df.withColumn("_draw", hash_draw(key, seed=seed))
+    ranked = group_rank(drawn, [label, fold], ["_draw", key], "_nth")
+    sizes = df.groupBy(label, fold).agg(F.count("*").alias("_size"))  # one row per class and fold
+    kept = ranked.join(F.broadcast(sizes), [label, fold])
+    return kept.where(F.col("_nth") < F.greatest(F.lit(1), F.ceil(F.col("_size") * fraction))).select(*df.columns)
+
+
 def halving_search(
     df: DataFrame,
     make: Maker,
@@ -103,7 +118,7 @@ def halving_search(
     for number, size in enumerate(sizes):
         alive = alive[:size]
         fraction = factor ** -(len(sizes) - 1 - number)
-        rows = hash_sample(df, key, fraction, seed).persist()
+        rows = class_sample(df, key, actual, fold, fraction, seed).persist()
 
         def score(entry, rows=rows, number=number, fraction=fraction):
             which, params = entry

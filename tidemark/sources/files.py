@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 from collections import defaultdict
 from collections.abc import Sequence
@@ -53,8 +54,12 @@ def _parquet_groups(spark: SparkSession, paths: list[str]) -> dict[str, tuple[T.
     return groups
 
 
-def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """Files by header line: columns of CSV files are matched by place, so only equal headers may share a scan."""
+# Quotes inside quoted values are doubled; a backslash is an ordinary character.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def _csv_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) by header line: columns are matched by place, so only equal headers may share a scan."""
     lines = spark.read.text(paths).select(
         "value",
         F.monotonically_increasing_id().alias("at"),
@@ -65,16 +70,18 @@ def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     groups: dict[str, list[str]] = defaultdict(list)
     for row in heads.orderBy("path").collect():  # one row per file
         groups[row["header"]].append(row["path"])
-    return list(groups.values())
+    return [(next(csv.reader([header or ""])), members) for header, members in groups.items()]
 
 
 def read_statements(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None, multiline: bool = False
 ) -> DataFrame:
     """One DataFrame over Parquet, CSV and gzip CSV files whose schemas may differ.
 
     The target schema is known before any row is read, so the result is one lazy scan per distinct schema and
-    nothing is rewritten. A single Parquet file is returned as it is. Pass `schema` to skip inference.
+    nothing is rewritten. A single Parquet file is returned as it is. With `schema` no type is inferred: the CSV
+    reader gets each column's type, so `007` stays text where text is asked for. `multiline` allows line breaks inside
+    quoted CSV values; such files are not split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     kinds = _by_kind(paths)
@@ -83,9 +90,14 @@ def read_statements(
         for own, members in _parquet_groups(spark, kinds["parquet"]).values():
             frames.append(spark.read.schema(own).parquet(*members))
     for kind in ("csv", "gzip"):
-        for members in _csv_groups(spark, kinds[kind]) if kinds[kind] else []:
-            reader = spark.read.option("header", "true").option("inferSchema", "true")
-            frame = reader.option("multiLine", "false").csv(members)
+        for names, members in _csv_groups(spark, kinds[kind]) if kinds[kind] else []:
+            reader = spark.read.options(**CSV, multiLine=str(multiline).lower())
+            if schema is None:
+                reader = reader.option("inferSchema", "true")
+            else:
+                known = {f.name: f.dataType for f in schema}
+                reader = reader.schema(T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names]))
+            frame = reader.csv(members)
             # A gzip file cannot be split: one task reads it, then its rows are spread.
             frames.append(frame.repartition(spark.sparkContext.defaultParallelism) if kind == "gzip" else frame)
     if not frames:
@@ -105,7 +117,7 @@ def count_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         parts.append(spark.read.option("ignoreCorruptFiles", "true").schema(empty).parquet(*kinds["parquet"]))
     for kind in ("csv", "gzip"):
         if kinds[kind]:
-            reader = spark.read.option("ignoreCorruptFiles", "true").option("header", "true")
+            reader = spark.read.options(**CSV, ignoreCorruptFiles="true")
             parts.append(reader.schema("line string").csv(kinds[kind]))
     counted = [
         p.select(_plain("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows"))

@@ -48,7 +48,7 @@ def write_feature_group(
     path = group_path(root, name, version)
     if buckets:
         table = f"{name}_v{version}"
-        rows.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+        rows.sparkSession.sql(f"DROP TABLE IF EXISTS `{table}`")
         writer = rows.repartition(buckets, key).write.mode("overwrite").option("path", path)
         writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         return table
@@ -76,6 +76,39 @@ def feature_view(base: DataFrame, others: Sequence[DataFrame], key: str) -> Data
     return view
 
 
+def write_feature_store(
+    rows: DataFrame,
+    root: str,
+    name: str,
+    version: int,
+    key: str,
+    texts: Sequence[str],
+    event_time: str | None = None,
+    labels: DataFrame | None = None,
+    settings: Mapping | None = None,
+    order: Sequence[str] = (),
+    buckets: int | None = None,
+) -> DataFrame:
+    """The whole stage: a structured group, one group for each text column, metadata, and the view that joins them.
+
+    Groups are called `<name>_struct` and `<name>_<text column>`; the metadata names them. Returns the view.
+    """
+    spark = rows.sparkSession
+    base = [c for c in rows.columns if c not in texts]
+    parts = {f"{name}_struct": base} | {f"{name}_{t}": [key, t] for t in texts}
+    groups = []
+    for group, columns in parts.items():
+        known = [c for c in order if c in columns]
+        own = rows.select(*columns) if group.endswith("_struct") else rows.where(F.col(columns[1]).isNotNull()).select(*columns)
+        time = event_time if event_time in columns else None
+        where = write_feature_group(own, root, group, version, key, time, known, buckets)
+        groups.append(spark.table(where) if buckets else spark.read.parquet(where))
+    listed = {"key": key, "version": version, "groups": list(parts), "features": [c for c in base if c != key], "texts": list(texts)}
+    none = spark.createDataFrame([], "label string, label_id int")
+    write_metadata(spark, f"{root}/{name}_metadata", labels if labels is not None else none, listed | dict(settings or {}))
+    return feature_view(groups[0], groups[1:], key)
+
+
 def backfill(df: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
     """Add `column` from a group that has it."""
     return df.join(source.select(key, column), key, "left")
