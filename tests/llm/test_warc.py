@@ -57,7 +57,7 @@ def test_members_stand_alone(spark, sf):
     for r in members.collect():
         system, path = fs.FileSystem.from_uri(r.file)
         raw = system.open_input_stream(path, compression=None).read()
-        index = [json.loads(x) for x in system.open_input_stream(fs.FileSystem.from_uri(r.index)[1], compression=None).read().splitlines()]
+        index = [json.loads(x) for x in system.open_input_stream(fs.FileSystem.from_uri(r["index"])[1], compression=None).read().splitlines()]
         assert sum(e["length"] for e in index) == len(raw) and len(index) == r.records
         whole = b"".join(gzip.decompress(raw[e["offset"] : e["offset"] + e["length"]]) for e in index)
         assert whole == gzip.decompress(raw)
