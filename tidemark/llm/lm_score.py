@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.arrays import find_words, hash_spans, lower_ascii, multiset, slices, utf8
-from tidemark.llm.sentence_pieces import MARK, MODEL, Vocabulary, match_pieces, ranges, vocabulary
+from tidemark.llm.arrays import find_words, hash_spans, lower_ascii, multiset, ranges, slices, utf8
+from tidemark.llm.sentence_pieces import MARK, MODEL, Vocabulary, match_pieces, vocabulary
 from tidemark.session import stored
 
 PIECE_PRIOR = 0.5  # added to each expected count

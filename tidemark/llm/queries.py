@@ -16,6 +16,7 @@ from tidemark.llm import (
     suffix_dedup,
     warc,
 )
+from tidemark.llm.oracle import SQL
 from tidemark.llm.workers import importable
 from tidemark.session import tune
 
@@ -73,6 +74,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summarise(table(spark, sf_dir, "documents"))
 
 
+__all__ = ["QUERIES", "SQL", "table"]
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,4 +91,3 @@ QUERIES = {
         op10_secret_scan,
     )
 }
-SQL: dict[str, str] = {}

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.arrays import STEP, U64, mix, slices
+from tidemark.llm.arrays import STEP, U64, mix, ranges, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x2581
@@ -123,12 +123,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of every range, one range behind the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 def _distinct(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the first of each distinct segment, and for each segment the index of its own among those."""
     step = int(STEP)
