@@ -15,6 +15,7 @@ def test_statements_of_the_corpus(spark):
         MIT: "MIT",
         "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
         "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "All rights reserved": "Proprietary",
     }
     want = {}
     for r in docs.collect():

@@ -21,7 +21,7 @@ CUE = r"(?i)licen[cs]|copyright|spdx|public domain|all rights reserved|creative
 FILE_NAME = r"(?i)^(?:licen[cs]e|copying|copyright|notice|unlicense)(?:[.-][^/]*)?$"
 # Fixed texts: the customary short statement of each licence, by its SPDX identifier.
 TEMPLATES = {
-    "MIT": "Released under the MIT License. Permission is hereby granted, free of charge",
+    "MIT": "Released under the MIT License",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
@@ -39,7 +39,7 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under Creative Commons Attribution-ShareAlike CC BY-SA 4.0",
     "CC-BY-NC-4.0": "Licensed under Creative Commons Attribution-NonCommercial CC BY-NC 4.0",
     "CC-BY-ND-4.0": "Licensed under Creative Commons Attribution-NoDerivatives CC BY-ND 4.0",
-    "Proprietary": "Copyright. All rights reserved. Proprietary and confidential",
+    "Proprietary": "All rights reserved, proprietary and confidential",
 }
 
 
@@ -89,7 +89,7 @@ def scan(files: DataFrame) -> DataFrame:
     added = ("license", "cosine", "origin", "text")
     own = [c for c in files.columns if c.lower() not in added]
     rows = files.select(*[F.col(f"`{c}`") for c in own], F.col("path").alias("_path"), F.coalesce("text", F.lit("")).alias("_text"))
-    parts = F.split("_text", r"\n|(?<=[.!?;])[\x20\x09]+", -1)
+    parts = F.split("_text", r"\n|(?<=[.!?;])[\x20\x09]+(?=[A-Z(])", -1)
     found = F.filter(parts, lambda p: p.rlike(CUE))
     rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(
         "_lines", F.when(F.regexp_like("_text", F.lit(CUE)), F.transform(found, lambda p: F.btrim(p)))

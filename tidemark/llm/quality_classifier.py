@@ -68,8 +68,8 @@ def statistics(texts: pa.Array) -> np.ndarray:
     head[at[:-1][size > 0]] = True
     head[1:] |= breaks[:-1]
     begin = np.flatnonzero(head)
-    stop = np.append(begin[1:], len(data))
-    stop = stop - (breaks[stop - 1] if len(stop) else 0)
+    stop = np.append(begin[1:], len(data))[: len(begin)]
+    stop = stop - breaks[stop - 1]
     filled = stop > begin
     line_of, _, line_times = multiset(owner[begin][filled], hash_spans(data, begin[filled], stop[filled]))
     extra = np.bincount(line_of, weights=line_times - 1, minlength=n) / np.maximum(lines, 1)
