@@ -9,8 +9,10 @@ refined in any task without a global sort, and equal strings meet by identifier.
   200-byte strings have equal buckets. Neighbouring positions mostly share one, so a text is a list of runs, about one
   for 85 bytes. A bucket with a single run and a single place of its 32 bytes holds no repeat and is dropped.
 * First refinement: runs of one bucket that agree in all their bytes are settled as a whole: all positions repeat.
-* Last refinement: runs left alone by that are opened, with one run of each settled group beside them, and their
-  positions are grouped by (bucket, identifier of the 200 bytes), 128 bits in all.
+* Second refinement: runs left alone by that, with one run of each settled group beside them, are cut into blocks of
+  starts by their distance to the place of the 32 bytes. Blocks that agree in all their bytes are settled as a whole; a
+  repeat needs the bytes that all starts of its block share, so blocks that share them with no other are dropped.
+* Last refinement: the starts that remain are grouped by (bucket, identifier of the 200 bytes), 128 bits in all.
 
 Equal texts are settled before all that: texts of 200 bytes or more with a copy are removed whole, and one of the copies
 takes part so that others find its strings.
@@ -31,11 +33,12 @@ from tidemark.session import stored
 
 LENGTH, FIRST = 200, 32
 WINDOW = LENGTH - FIRST + 1
+BLOCK = 24  # starts in one block
 PIECE = 2 << 20  # bytes worked on at once
 
 
 def _names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers of the 32 and of the 200 bytes at each start that has as many bytes behind it."""
+    """Identifiers of the 32 and of the 128 bytes at each start that has as many bytes behind it."""
 
     def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x = a * STEP + b * U64(0xD6E8FEB86659FD93)
@@ -47,7 +50,13 @@ def _names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         level, size = joined(level[:-size], level[size:]), 2 * size
         if size == FIRST:
             first = level
-    return first, joined(level[: len(data) - LENGTH + 1], level[LENGTH - 128 :])
+    return first, level
+
+
+def _longer(half: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """Identifiers of 128 to 256 bytes at the given starts, from those of 128 bytes."""
+    x = half[start] * STEP + half[start + length - 128] * U64(0xD6E8FEB86659FD93)
+    return x ^ (x >> U64(31))
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -91,10 +100,14 @@ def _starts(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of starts with one bucket: text, start in the text, length, bucket, identifier of all bytes, several places."""
+    """Runs of starts with one bucket.
+
+    Text, start in the text, length, bucket, identifier of all bytes, several places, place in the text.
+    """
     if len(data) < LENGTH:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2 + (np.zeros(0, bool),)
-    first, name = _names(data)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2 + (np.zeros(0, bool), np.zeros(0, np.int64))
+    first, half = _names(data)
+    name = _longer(half, np.arange(len(data) - LENGTH + 1), LENGTH)
     low = _sliding(first, WINDOW, np.minimum)
     start, text = _starts(at)
     valid = np.zeros(len(low), bool)
@@ -119,10 +132,14 @@ def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     more = np.zeros(len(begin), bool)
     if several:
         more = np.fromiter(((t, b) in several for t, b in zip(text[begin].tolist(), bucket[begin].tolist(), strict=True)), bool, len(begin))
-    return text[begin], (start - at[:-1][text])[begin], length, bucket[begin], whole, more
+    # The first place of its bucket behind the last start of a run lies in all the strings of the run.
+    which = np.searchsorted(place, start[begin] + length - 1)
+    while (other := first[place[which]] != bucket[begin]).any():
+        which = which + other
+    return text[begin], (start - at[:-1][text])[begin], length, bucket[begin], whole, more, place[which] - at[:-1][text[begin]]
 
 
-INDEX = "row long, doc_id long, digest binary, n_bytes long, runs array<struct<start:long,length:long,bucket:long,whole:long,several:boolean>>"
+INDEX = "row long, doc_id long, digest binary, n_bytes long, runs array<struct<start:long,length:long,bucket:long,whole:long,several:boolean,place:long>>"
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,11 +147,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = utf8(part.column("text"))
         found = []
         for piece, offsets, first, begin in _pieces(data, at):
-            text, start, length, bucket, whole, several = _runs(piece, offsets)
-            found.append((text + first, start + begin, length, bucket.view(np.int64), whole.view(np.int64), several))
-        columns = [np.concatenate([f[k] for f in found]) for k in range(6)]
+            text, start, length, bucket, whole, several, place = _runs(piece, offsets)
+            found.append((text + first, start + begin, length, bucket.view(np.int64), whole.view(np.int64), several, place + begin))
+        columns = [np.concatenate([f[k] for f in found]) for k in range(7)]
         count = np.bincount(columns[0], minlength=part.num_rows)
-        struct = pa.StructArray.from_arrays([pa.array(c) for c in columns[1:]], ["start", "length", "bucket", "whole", "several"])
+        struct = pa.StructArray.from_arrays([pa.array(c) for c in columns[1:]], ["start", "length", "bucket", "whole", "several", "place"])
         runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), struct)
         whole = data.tobytes()
         digests = [hashlib.sha256(whole[a:b]).digest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -144,30 +161,58 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _located(part: pa.RecordBatch, fields: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]:
+    """For each piece of the texts: identifiers of 128 bytes, node of each run that starts in it, and the runs' fields.
+
+    `at` is added to the fields: where the text begins in the piece (before it, for a later piece of a long text).
+    """
+    data, at = utf8(part.column("text"))
+    nodes = part.column("node").to_numpy(zero_copy_only=False)
+    runs = part.column("runs")
+    count = np.diff(runs.offsets.to_numpy()) if len(runs) else np.zeros(0, int)
+    flat = runs.flatten()
+    values = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in fields}
+    owner = np.repeat(np.arange(len(nodes)), count)
+    for piece, offsets, first, begin in _pieces(data, at):
+        if len(piece) < LENGTH:
+            continue
+        here = (owner >= first) & (owner < first + len(offsets) - 1) & (values["start"] >= begin)
+        if len(offsets) == 2:  # maybe part of a longer text
+            here &= values["start"] < begin + len(piece) - LENGTH + 1
+        mine = owner[here]
+        yield _names(piece)[1], nodes[mine], {k: v[here] for k, v in values.items()} | {"at": offsets[mine - first] - begin}
+
+
+BLOCKS = "node long, bucket long, number long, low long, high long, place long, core long, whole long, alone boolean, several boolean"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the runs: starts whose distance to the place is low to high."""
+    for part in slices(batches, "text", limit=2 * PIECE):
+        for half, node, run in _located(part, ("start", "length", "bucket", "alone", "several", "place")):
+            least = run["place"] - run["start"] - run["length"] + 1
+            most = run["place"] - run["start"]
+            count = most // BLOCK - least // BLOCK + 1
+            of = np.repeat(np.arange(len(node)), count)
+            number = (least // BLOCK)[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            low, high = np.maximum(least[of], number * BLOCK), np.minimum(most[of], number * BLOCK + BLOCK - 1)
+            place = (run["at"] + run["place"])[of]
+            nearest, farthest = number * BLOCK, np.minimum(number * BLOCK + BLOCK - 1, WINDOW - 1)
+            core = _longer(half, place - nearest, LENGTH - (farthest - nearest))
+            whole = _longer(half, place - high, LENGTH + high - low)
+            columns = [node[of], run["bucket"][of], number, low, high, run["place"][of], core.view(np.int64), whole.view(np.int64), run["alone"][of], run["several"][of]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in BLOCKS.split(", ")])
+
+
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Positions of the runs of each text, as (node, bucket, name, start, alone)."""
+    """Single starts of the given stretches of each text, as (node, bucket, name, start, alone)."""
     for part in slices(batches, "text", limit=2 * PIECE):
-        data, at = utf8(part.column("text"))
-        nodes = part.column("node").to_numpy(zero_copy_only=False)
-        runs = part.column("runs")
-        count = np.diff(runs.offsets.to_numpy()) if len(runs) else np.zeros(0, int)
-        flat = runs.flatten()
-        start, length, bucket, alone = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "length", "bucket", "alone"))
-        owner = np.repeat(np.arange(len(nodes)), count)
-        for piece, offsets, first, begin in _pieces(data, at):
-            if len(piece) < LENGTH:
-                continue
-            _, name = _names(piece)
-            here = (owner >= first) & (owner < first + len(offsets) - 1) & (start >= begin)
-            if len(offsets) == 2:  # part of a longer text
-                here &= start < begin + len(piece) - LENGTH + 1
-            which = np.repeat(np.flatnonzero(here), length[here])
-            place = start[which] + np.arange(len(which)) - np.repeat(np.cumsum(length[here]) - length[here], length[here])
-            found = name[offsets[owner[which] - first] + place - begin].view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[owner[which]]), pa.array(bucket[which]), pa.array(found), pa.array(place), pa.array(alone[which])],
-                ["node", "bucket", "name", "start", "alone"],
-            )
+        for half, node, run in _located(part, ("start", "length", "bucket", "alone")):
+            of = np.repeat(np.arange(len(node)), run["length"])
+            start = run["start"][of] + np.arange(len(of)) - np.repeat(np.cumsum(run["length"]) - run["length"], run["length"])
+            name = _longer(half, start + run["at"][of], LENGTH).view(np.int64)
+            columns = [node[of], run["bucket"][of], name, start, run["alone"][of]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "bucket", "name", "start", "alone"])
 
 
 def merged(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,26 +256,39 @@ def repeated(docs: DataFrame) -> DataFrame:
     runs = runs.select(F.col("row").alias("node"), "copied", "run.*")
 
     buckets = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select("bucket")
-    open_runs = stored(runs.join(buckets, "bucket").drop("several"), "bucket-runs")
+    open_runs = stored(runs.join(buckets, "bucket"), "bucket-runs")
     same = ["bucket", "whole", "length"]
     groups = stored(
-        open_runs.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.max("copied").alias("copied"), F.min(F.struct("node", "start")).alias("one")),
+        open_runs.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.max("copied").alias("copied"), F.min(F.struct("node", "start", "place", "several")).alias("one")),
         "run-groups",
     )
     alone = groups.where("n = 1 and not copied").select("bucket").distinct()
-    chosen = groups.join(alone, "bucket", "left_semi").select(
-        "one.node", F.struct(F.col("one.start").alias("start"), "length", "bucket", ((F.col("n") == 1) & ~F.col("copied")).alias("alone")).alias("run")
-    )
-    lists = stored(chosen.groupBy("node").agg(F.collect_list("run").alias("runs")), "open-runs")  # runs of one text
+    chosen = groups.join(alone, "bucket", "left_semi").select("bucket", "length", "one.*", ((F.col("n") == 1) & ~F.col("copied")).alias("alone"))
+    run = F.struct("start", "length", "bucket", "alone", "several", "place")
+    lists = stored(chosen.groupBy("node").agg(F.collect_list(run).alias("runs")), "chosen-runs")  # runs of one text
     found = fetch_texts(docs, texts.join(lists.select("node"), "node").select("node", "digest", "least"))
-    places = found.join(lists, "node").mapInArrow(_open, "node long, bucket long, name long, start long, alone boolean")
-    places = stored(places, "open-places")
+    blocks = stored(found.join(lists, "node").mapInArrow(_blocks, BLOCKS), "blocks")
+    equal = ["bucket", "low", "high", "whole"]
+    kinds = blocks.groupBy(*equal, "number", "core").agg(
+        F.count(F.lit(1)).alias("n"), F.max("several").alias("several"), F.max("alone").alias("any"), F.min(F.struct("node", "place", "alone")).alias("one")
+    )
+    kinds = stored(kinds.withColumn("open", F.col("any") & (F.col("n") == 1)), "block-groups")
+    # Starts of a several-place run repeat at other distances too, so its blocks are always opened.
+    cores = kinds.groupBy("bucket", "number", "core").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("o")).where("c > 1 and o")
+    opened = kinds.join(cores.select("bucket", "number", "core", F.lit(True).alias("twin")), ["bucket", "number", "core"], "left").where("twin or several")
+    stretch = F.struct(
+        (F.col("one.place") - F.col("high")).alias("start"), (F.col("high") - F.col("low") + 1).alias("length"), "bucket", F.col("open").alias("alone")
+    )
+    lists = stored(opened.groupBy("one.node").agg(F.collect_list(stretch).alias("runs")), "open-blocks")  # blocks of one text
+    places = stored(found.join(lists, "node").mapInArrow(_open, "node long, bucket long, name long, start long, alone boolean"), "open-places")
     names = places.groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("a")).where("n > 1 and a").select("bucket", "name")
     single = places.where("alone").join(names, ["bucket", "name"]).select("node", "start", F.lit(LENGTH).cast("long").alias("length"))
+    alike = blocks.where("alone").join(kinds.where("n > 1").select(*equal), equal)
+    alike = alike.select("node", (F.col("place") - F.col("high")).alias("start"), (F.col("high") - F.col("low") + LENGTH).alias("length"))
 
     settled = open_runs.where("not copied").join(groups.where("n > 1 or copied").select(*same), same)
     settled = settled.select("node", "start", (F.col("length") + (LENGTH - 1)).alias("length"))
-    spans = single.union(settled).groupBy("node").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+    spans = single.union(alike).union(settled).groupBy("node").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     spans = stored(spans, "spans")  # spans of one text
     held = fetch_texts(docs, texts.join(spans.select("node"), "node").select("node", "digest", "least"))
     cut = held.join(spans, "node").mapInArrow(
