@@ -8,9 +8,10 @@ of its first point. Two bags agree in a slot with probability sum(min)/sum(max),
 Points are drawn in order of time and only up to a horizon by which all slots are filled (a larger one for the few
 documents where one stays empty), so the work per document does not depend on its length.
 
-Documents that agree in a band of slots are candidates. Candidates are first compared with the smallest member of each
-band bucket. Pairs whose link does not follow from those are then compared as well, so no candidate pair is left
-undecided, and a large group of copies costs one comparison per member and band, never all pairs.
+Documents that agree in a band of slots are candidates. They are first compared with one member of each band bucket, the
+one that meets the most others. Buckets whose members are then not all in one class are compared within: a task gets a
+bucket (a large one in blocks) and reports the links between classes, so that no candidate pair is left undecided and
+no pairs are written out but the linked ones.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.arrays import U64, mix, multiset, shingles, slices
+from tidemark.llm.arrays import U64, mix, multiset, ranges, shingles, slices
 from tidemark.llm.components import components
 from tidemark.llm.texts import digest, fetch_texts
 from tidemark.operators.skew import is_small
@@ -32,6 +33,7 @@ SIMILARITY = 0.8
 ROWS, BANDS = 6, 42  # a pair at 0.8 shares no band once in 300,000 cases
 SLOTS = ROWS * BANDS
 SLACK = 3.0
+BLOCK = 1000  # members of a bucket that one task holds beside as many others
 
 
 def _unit(bits: np.ndarray) -> np.ndarray:
@@ -104,6 +106,32 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("a").filter(pa.array(similar)), part.column("b").filter(pa.array(similar))], ["a", "b"])
 
 
+def _links_inside(rows: pa.Table) -> pa.Table:
+    """Links between rows (node, root, text) of different roots."""
+    node, root = (rows.column(c).to_numpy() for c in ("node", "root"))
+    texts = rows.column("text").combine_chunks()
+    text, value, weight = multiset(*shingles(texts))
+    total = np.bincount(text, weights=weight, minlength=len(node))
+    by_value = np.argsort(value, kind="stable")
+    holder, amount, ordered = text[by_value], weight[by_value], value[by_value]
+    first, last = np.searchsorted(ordered, value, "left"), np.searchsorted(ordered, value, "right")
+    at = np.searchsorted(text, np.arange(len(node) + 1))
+    names, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    left: list[np.ndarray] = []
+    right: list[np.ndarray] = []
+    for i in np.flatnonzero(of != sizes.argmax()).tolist():  # every link has an end outside the largest class
+        own = slice(at[i], at[i + 1])
+        length = last[own] - first[own]
+        hit = ranges(first[own], length)
+        shared = np.bincount(holder[hit], weights=np.minimum(amount[hit], np.repeat(weight[own], length)), minlength=len(node))
+        whole = total + total[i] - shared
+        linked = np.flatnonzero((root != root[i]) & (whole > 0) & (shared >= SIMILARITY * whole))
+        left.append(np.minimum(node[i], node[linked]))
+        right.append(np.maximum(node[i], node[linked]))
+    empty = [np.zeros(0, np.int64)]
+    return pa.table({"a": np.concatenate(left or empty), "b": np.concatenate(right or empty)})
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose texts are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -126,9 +154,14 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = stored(signed.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least")), "texts")
     banded = signed.join(texts.select(F.col("node").alias("row")), "row", "left_semi")
     members = stored(banded.select(F.col("row").alias("node"), F.explode_outer("bands").alias("band")).where("band is not null"), "bands")
-    buckets = members.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "first")
+    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     grouped = stored(members.join(buckets, "band"), "buckets")
-    pairs = stored(grouped.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    # A bucket is compared with the member that meets the most others: of a text and its copies, the text itself.
+    meets = grouped.groupBy("node").agg(F.sum("n").alias("meets"))
+    best = F.max(F.struct("meets", (-F.col("node")).alias("node")))
+    pivots = grouped.join(meets, "node").groupBy("band").agg(best.alias("best")).select("band", (-F.col("best.node")).alias("first"))
+    star = grouped.join(pivots, "band").where("node <> first")
+    pairs = stored(star.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct(), "pairs")
 
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = stored(texts.join(nodes, "node"), "needed")
@@ -136,18 +169,17 @@ def classes(docs: DataFrame) -> DataFrame:
 
     links = stored(_linked(pairs, found), "links")
     roots = components(links)
-    # Members of one bucket that are still apart: compare across components, and only there.
-    placed = grouped.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    apart = placed.select("band", "root").distinct()
-    several = stored(apart.join(apart.groupBy("band").count().where("count > 1").select("band"), "band", "left_semi"), "apart")
-    across = several.select("band", F.col("root").alias("x")).join(several.select("band", F.col("root").alias("y")), "band").where("x < y")
-    one, two = (placed.select("band", F.col("node").alias(n), F.col("root").alias(r)) for n, r in (("p", "x"), ("q", "y")))
-    left = across.join(one, ["band", "x"]).join(two, ["band", "y"])
-    open_pairs = left.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    open_pairs = stored(open_pairs, "open-pairs")
-    if open_pairs.limit(1).count():
-        more = stored(_linked(open_pairs, found), "links")
-        roots = components(links.union(more)) if more.limit(1).count() else roots
+    # Members of one bucket that are still apart are compared with each other, in the task that gets the bucket.
+    placed = grouped.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+    apart = placed.groupBy("band").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("band")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    mine = F.pmod(F.xxhash64("node"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
+    spread = placed.join(apart, "band").select("band", "node", "root", mine.alias("mine"), other)
+    spread = spread.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")}).join(found, "node")
+    more = spread.select("band", "x", "y", "node", "root", "text").groupBy("band", "x", "y").applyInArrow(_links_inside, "a long, b long")
+    more = stored(more.distinct(), "links")
+    roots = components(links.union(more)) if more.limit(1).count() else roots
 
     rooted = texts.join(roots, "node", "left").select("digest", "node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
