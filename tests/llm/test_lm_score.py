@@ -106,8 +106,12 @@ def test_text_score_is_the_product_of_its_words(spark, documents):
 def test_shared_hash_is_counted_apart(monkeypatch):
     import pyarrow as pa
 
-    want = m._count_words(pa.array(["b a b", None, "c"]))
+    def rows(found):
+        word, train, stops, owner, n = found
+        begins = [0, *stops.tolist()]
+        return sorted((w, t, tuple(zip(owner[a:b].tolist(), n[a:b].tolist()))) for w, t, a, b in zip(word.to_pylist(), train.tolist(), begins, stops.tolist()))
+
+    texts, held = pa.array(["b a b", None, "c a"]), np.array([False, False, True])
+    want = rows(m._count_words(texts, held))
     monkeypatch.setattr(m, "hash_spans", lambda data, start, end: np.zeros(len(start), np.uint64))
-    got = m._count_words(pa.array(["b a b", None, "c"]))
-    rows = lambda x: sorted(zip(x[0].tolist(), x[1].to_pylist(), x[2].tolist()))
-    assert rows(got) == rows(want) == [(0, "a", 1), (0, "b", 2), (2, "c", 1)]
+    assert rows(m._count_words(texts, held)) == want == [("a", 1, ((0, 1), (2, 1))), ("b", 2, ((0, 2),)), ("c", 0, ((2, 1),))]

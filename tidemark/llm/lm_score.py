@@ -6,8 +6,8 @@ counts over all segmentations of the training words gives smoothed log10 probabi
 a word mark, and one end. No piece crosses a word, so the marginal of a text is the product over its words and the end,
 and a word's marginal comes from a forward recursion over the lattice of its pieces, in logarithms.
 
-A word is worked on once, however often it occurs: texts are counted into (text, word, count) rows, words into one row
-each with their count in the training texts, and both scores come back by one join on the word.
+A word is worked on once, however often it occurs: batches of texts are counted into rows of a word and its uses, words
+into one row each with their count in the training texts, and both scores come back by one join on the word.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.arrays import find_words, hash_spans, lower_ascii, multiset, ranges, slices, utf8
+from tidemark.llm.arrays import find_words, hash_spans, lower_ascii, ranges, slices, utf8
 from tidemark.llm.sentence_pieces import MARK, MODEL, Vocabulary, match_pieces, vocabulary
 from tidemark.session import stored
 
@@ -27,23 +27,33 @@ PIECE_PRIOR = 0.5  # added to each expected count
 LN10 = float(np.log(10))
 
 
-def _count_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Text number, word and count for each different word of each text."""
+def _count_words(texts: pa.Array, held: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a batch of texts: each different word, its count in texts not held out, and where its uses end among the
+    uses, which are text number and count."""
     data, at = utf8(texts)
     data = lower_ascii(data)
     start, end, text = find_words(data, at)
     # Hashes group the words of one batch; words of equal hash are compared below.
     key = hash_spans(data, start, end)
-    order = np.lexsort((key, text))
-    _, _, n = multiset(text, key)
-    if not _equal(data, start, end, order, n):
-        return _count_slowly(data, start, end, text)
-    first = order[np.cumsum(n) - n]
-    length = (end - start)[first]
+    order = np.lexsort((text, key))
+    grouped, owner = key[order], text[order]
+    word_head = np.ones(len(order), bool)
+    word_head[1:] = grouped[1:] != grouped[:-1]
+    first = np.flatnonzero(word_head)
+    if not _equal(data, start, end, order, np.diff(np.append(first, len(order)))):
+        return _count_slowly(data, start, end, text, held)
+    head = word_head.copy()
+    head[1:] |= owner[1:] != owner[:-1]
+    use = np.flatnonzero(head)
+    n = np.diff(np.append(use, len(order))).astype(np.int64)
+    begin = np.flatnonzero(word_head[use])
+    stops = np.append(begin[1:], len(use))[: len(begin)]
+    train = np.add.reduceat(n * ~held[owner[use]], begin) if len(begin) else np.zeros(0, np.int64)
+    length = (end - start)[order[first]]
     ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-    spelled = data[ranges(start[first], length)].tobytes()
+    spelled = data[ranges(start[order[first]], length)].tobytes()
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(spelled)])
-    return text[first], words.cast(pa.string()), n.astype(np.int64)
+    return words.cast(pa.string()), train, stops, owner[use], n
 
 
 def _equal(data: np.ndarray, start: np.ndarray, end: np.ndarray, order: np.ndarray, n: np.ndarray) -> bool:
@@ -55,11 +65,16 @@ def _equal(data: np.ndarray, start: np.ndarray, end: np.ndarray, order: np.ndarr
     return bool((data[ranges(start[order], size)] == data[ranges(start[order][leader], size)]).all())
 
 
-def _count_slowly(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """The same counts by dictionary, for a batch in which two words share a hash."""
+def _count_slowly(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray, held: np.ndarray):
+    """The same by dictionary, for a batch in which two words share a hash."""
     raw = data.tobytes()
-    counts = Counter((t, raw[a:b].decode()) for t, a, b in zip(text.tolist(), start.tolist(), end.tolist(), strict=True))
-    return np.array([t for t, _ in counts]), pa.array([w for _, w in counts], pa.string()), np.array(list(counts.values()))
+    uses: dict[str, Counter] = {}
+    for t, a, b in zip(text.tolist(), start.tolist(), end.tolist(), strict=True):
+        uses.setdefault(raw[a:b].decode(), Counter())[t] += 1
+    train = [sum(n for t, n in u.items() if not held[t]) for u in uses.values()]
+    stops = np.cumsum([len(u) for u in uses.values()])
+    owner, n = (np.array([x[k] for u in uses.values() for x in u.items()], np.int64) for k in (0, 1))
+    return pa.array(list(uses), pa.string()), np.array(train, np.int64), stops, owner, n
 
 
 class Lattice:
@@ -192,23 +207,29 @@ def scores(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """
     held = held_out(F.col("doc_id")).alias("held_out")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held, F.col("text").cast("string").alias("text"))
-    names = ["row", "doc_id", "held_out", "word", "n"]
+    names = ["row", "doc_id", "held_out", "word", "n_train", "uses"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             row, doc_id, held = (part.column(c) for c in ("row", "doc_id", "held_out"))
-            one = pa.array(np.ones(part.num_rows, np.int64))
-            yield pa.RecordBatch.from_arrays([row, doc_id, held, pa.nulls(part.num_rows, pa.string()), one], names)
-            text, word, n = _count_words(part.column("text"))
-            at = pa.array(text, pa.int64())
-            yield pa.RecordBatch.from_arrays([row.take(at), pa.nulls(len(n), doc_id.type), held.take(at), word, pa.array(n)], names)
+            none = pa.nulls(part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([row, doc_id, held, pa.nulls(part.num_rows, pa.string()), *none], names)
+            word, train, stops, owner, n = _count_words(part.column("text"), held.to_numpy(zero_copy_only=False))
+            numbers = row.to_numpy(zero_copy_only=False)
+            # A use is one number: how far its row lies behind the first of the batch, and the count.
+            packed = (numbers[owner] - numbers[0]) * (1 << 32) + n
+            uses = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]).astype(np.int32)), pa.array(packed.astype(np.int64)))
+            size = len(train)
+            base = pa.array(np.full(size, numbers[0]))
+            yield pa.RecordBatch.from_arrays([base, pa.nulls(size, doc_id.type), pa.nulls(size, pa.bool_()), word, pa.array(train), uses], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # The row without a word is the text itself.
-    counted = stored(rows.mapInArrow(count, f"row long, doc_id {kind}, held_out boolean, word string, n long"), "word-counts")
+    # A row without a word is a text; one with a word holds its uses in a batch of texts.
+    schema = f"row long, doc_id {kind}, held_out boolean, word string, n_train long, uses array<long>"
+    counted = stored(rows.mapInArrow(count, schema), "word-counts")
     texts = counted.where("word is null").select("row", "doc_id", "held_out")
-    pairs = counted.where("word is not null").select("row", "held_out", "word", "n")
-    words = pairs.groupBy("word").agg(F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("n"))).alias("c"))
+    pairs = counted.where("word is not null")
+    words = pairs.groupBy("word").agg(F.sum("n_train").alias("c"))
     words = stored(words, "words")
     known, tokens = words.where("c > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     ends = texts.where("not held_out").count()
@@ -217,8 +238,9 @@ def scores(docs: DataFrame, path: str = MODEL) -> DataFrame:
     scored, log_end = score_words(words, ends, path)
     scored = stored(scored, "word-scores")
     log10 = lambda c: F.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-    both = pairs.select("row", "word", "n").join(scored, "word")
-    sums = both.groupBy("row").agg(
+    both = pairs.select("row", "word", "uses").join(scored, "word").select("row", "c", "log_p", F.explode("uses").alias("use"))
+    row, n = (F.col("row") + F.shiftright("use", 32)).alias("row"), F.col("use").bitwiseAND((1 << 32) - 1).alias("n")
+    sums = both.select(row, n, "c", "log_p").groupBy("row").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"),
         F.sum(F.col("n") * log10(F.col("c"))).alias("base"),
