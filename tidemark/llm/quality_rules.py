@@ -110,7 +110,10 @@ def assess(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: fl
             "kept": ~F.col("base_failed") & enough,
         }
     )
-    return df.select(*[F.col(f"`{c}`") for c in own], *added)
+    # A filter on these columns must not move below the steps above, where it would compute all of them again, once per
+    # word. An expression that is not deterministic holds it back.
+    here = F.monotonically_increasing_id() >= 0
+    return df.select(*[F.col(f"`{c}`") for c in own], *[F.when(here, F.col(c)).alias(c) for c in added])
 
 
 def rate(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
