@@ -56,6 +56,20 @@ def test_planted_passages(spark, monkeypatch):
         assert sorted(starts.tolist()) == list(range(len(raw) - 199))
 
 
+def test_line_twice_in_one_text_only(spark):
+    draw = random.Random(2)
+    text = lambda k: "".join(draw.choice("abcdefgh \n") for _ in range(k))
+    rows = []
+    for k in range(40):
+        line, before = text(draw.randrange(32, 170)), text(draw.randrange(170, 260))
+        rows += [(4 * k, text(60) + before + line * 2 + text(60)), (4 * k + 1, text(60) + before + line + text(60))]
+        rows += [(4 * k + 2, text(60) + line * 3 + before + text(60)), (4 * k + 3, text(60) + line + before + text(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(df.collect())
+    assert sum(w[2] > 0 for w in want) == len(rows)
+    assert result(s.repeated(df)) == want
+
+
 def test_spans_cut_the_text(documents):
     rows = {r.doc_id: r for r in s.repeated(documents).collect()}
     for d in documents.collect():

@@ -10,7 +10,8 @@ refined in any task without a global sort, and equal strings meet by identifier.
   for 85 bytes. A bucket with a single run and a single place of its 32 bytes holds no repeat and is dropped.
 * First refinement: runs of one bucket that agree in all their bytes are settled as a whole: all positions repeat.
 * Second refinement: runs left alone by that, with one run of each settled group beside them, are cut into blocks of
-  starts by their distance to the place of the 32 bytes. Blocks that agree in all their bytes are settled as a whole; a
+  starts by their distance to the first place of the 32 bytes at or behind the start. Equal 200-byte strings have equal
+  distances, whatever follows them. Blocks that agree in all their bytes are settled as a whole; a
   repeat needs the bytes that all starts of its block share, so blocks that share them with no other are dropped.
 * Last refinement: the starts that remain are grouped by (bucket, identifier of the 200 bytes), 128 bits in all.
 
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.arrays import BYTE_CODE, STEP, U64, mix, slices, utf8
+from tidemark.llm.arrays import BYTE_CODE, STEP, U64, mix, ranges, slices, utf8
 from tidemark.llm.texts import fetch_texts
 from tidemark.session import stored
 
@@ -132,7 +133,7 @@ def _runs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     more = np.zeros(len(begin), bool)
     if several:
         more = np.fromiter(((t, b) in several for t, b in zip(text[begin].tolist(), bucket[begin].tolist(), strict=True)), bool, len(begin))
-    # The first place of its bucket behind the last start of a run lies in all the strings of the run.
+    # The first place of its bucket at or behind the last start of a run.
     which = np.searchsorted(place, start[begin] + length - 1)
     while (other := first[place[which]] != bucket[begin]).any():
         which = which + other
@@ -161,8 +162,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _located(part: pa.RecordBatch, fields: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]]:
-    """For each piece of the texts: identifiers of 128 bytes, node of each run that starts in it, and the runs' fields.
+def _located(part: pa.RecordBatch, fields: tuple[str, ...]) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], np.ndarray, dict[str, np.ndarray]]]:
+    """For each piece of the texts: identifiers of 32 and of 128 bytes, node of each run that starts in it, and the runs' fields.
 
     `at` is added to the fields: where the text begins in the piece (before it, for a later piece of a long text).
     """
@@ -180,34 +181,54 @@ def _located(part: pa.RecordBatch, fields: tuple[str, ...]) -> Iterator[tuple[np
         if len(offsets) == 2:  # maybe part of a longer text
             here &= values["start"] < begin + len(piece) - LENGTH + 1
         mine = owner[here]
-        yield _names(piece)[1], nodes[mine], {k: v[here] for k, v in values.items()} | {"at": offsets[mine - first] - begin}
+        yield _names(piece), nodes[mine], {k: v[here] for k, v in values.items()} | {"at": offsets[mine - first] - begin}
 
 
-BLOCKS = "node long, bucket long, number long, low long, high long, place long, core long, whole long, alone boolean, several boolean"
+BLOCKS = "node long, bucket long, number long, low long, high long, place long, core long, whole long, alone boolean"
+
+
+def _parted(first: np.ndarray, run: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs cut behind every place in them: number of the run, first start, last start, place.
+
+    The place of a part is the first one at or behind each of its starts.
+    """
+    last = run["start"] + run["length"] - 1
+    many = np.flatnonzero(run["several"])
+    start, of = ranges(run["start"][many], run["length"][many]), np.repeat(many, run["length"][many])
+    inside = (first[start + run["at"][of]] == run["bucket"].view(U64)[of]) & (start < last[of])
+    of = np.concatenate([of[inside], np.arange(len(last))])
+    stop, place = np.concatenate([start[inside], last]), np.concatenate([start[inside], run["place"]])
+    order = np.lexsort((stop, of))
+    of, stop, place = of[order], stop[order], place[order]
+    begin = run["start"][of]
+    later = np.flatnonzero(of[1:] == of[:-1]) + 1
+    begin[later] = stop[later - 1] + 1
+    return of, begin, stop, place
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the runs: starts whose distance to the place is low to high."""
+    """Blocks of the runs: starts whose distance to the first place at or behind them is low to high."""
     for part in slices(batches, "text", limit=2 * PIECE):
-        for half, node, run in _located(part, ("start", "length", "bucket", "alone", "several", "place")):
-            least = run["place"] - run["start"] - run["length"] + 1
-            most = run["place"] - run["start"]
+        for (first, half), node, run in _located(part, ("start", "length", "bucket", "alone", "several", "place")):
+            whose, begin, stop, at = _parted(first, run)
+            least, most = at - stop, at - begin
             count = most // BLOCK - least // BLOCK + 1
-            of = np.repeat(np.arange(len(node)), count)
-            number = (least // BLOCK)[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-            low, high = np.maximum(least[of], number * BLOCK), np.minimum(most[of], number * BLOCK + BLOCK - 1)
-            place = (run["at"] + run["place"])[of]
+            part_of = np.repeat(np.arange(len(whose)), count)
+            number = ranges(least // BLOCK, count)
+            low, high = np.maximum(least[part_of], number * BLOCK), np.minimum(most[part_of], number * BLOCK + BLOCK - 1)
+            of, at = whose[part_of], at[part_of]
+            place = run["at"][of] + at
             nearest, farthest = number * BLOCK, np.minimum(number * BLOCK + BLOCK - 1, WINDOW - 1)
             core = _longer(half, place - nearest, LENGTH - (farthest - nearest))
             whole = _longer(half, place - high, LENGTH + high - low)
-            columns = [node[of], run["bucket"][of], number, low, high, run["place"][of], core.view(np.int64), whole.view(np.int64), run["alone"][of], run["several"][of]]
+            columns = [node[of], run["bucket"][of], number, low, high, at, core.view(np.int64), whole.view(np.int64), run["alone"][of]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in BLOCKS.split(", ")])
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Single starts of the given stretches of each text, as (node, bucket, name, start, alone)."""
     for part in slices(batches, "text", limit=2 * PIECE):
-        for half, node, run in _located(part, ("start", "length", "bucket", "alone")):
+        for (_, half), node, run in _located(part, ("start", "length", "bucket", "alone")):
             of = np.repeat(np.arange(len(node)), run["length"])
             start = run["start"][of] + np.arange(len(of)) - np.repeat(np.cumsum(run["length"]) - run["length"], run["length"])
             name = _longer(half, start + run["at"][of], LENGTH).view(np.int64)
@@ -270,12 +291,11 @@ def repeated(docs: DataFrame) -> DataFrame:
     blocks = stored(found.join(lists, "node").mapInArrow(_blocks, BLOCKS), "blocks")
     equal = ["bucket", "low", "high", "whole"]
     kinds = blocks.groupBy(*equal, "number", "core").agg(
-        F.count(F.lit(1)).alias("n"), F.max("several").alias("several"), F.max("alone").alias("any"), F.min(F.struct("node", "place", "alone")).alias("one")
+        F.count(F.lit(1)).alias("n"), F.max("alone").alias("any"), F.min(F.struct("node", "place", "alone")).alias("one")
     )
     kinds = stored(kinds.withColumn("open", F.col("any") & (F.col("n") == 1)), "block-groups")
-    # Starts of a several-place run repeat at other distances too, so its blocks are always opened.
     cores = kinds.groupBy("bucket", "number", "core").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("o")).where("c > 1 and o")
-    opened = kinds.join(cores.select("bucket", "number", "core", F.lit(True).alias("twin")), ["bucket", "number", "core"], "left").where("twin or several")
+    opened = kinds.join(cores.select("bucket", "number", "core"), ["bucket", "number", "core"])
     stretch = F.struct(
         (F.col("one.place") - F.col("high")).alias("start"), (F.col("high") - F.col("low") + 1).alias("length"), "bucket", F.col("open").alias("alone")
     )
