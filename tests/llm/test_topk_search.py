@@ -1,0 +1,68 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm import topk_search as m
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row string, v int, is_query int"
+
+
+def brute(rows, k=5, every=50):
+    usable = [(r.vec_id, [math.floor(256 * x) for x in r.embedding]) for r in rows if r.embedding is not None and all(x is not None and math.isfinite(x) for x in r.embedding)]
+    out = []
+    for i, (query, q) in enumerate(usable):
+        if query is not None and query % every == 0:
+            scored = [(-sum(a * b for a, b in zip(q, v)), name is None, name) for j, (name, v) in enumerate(usable) if j != i]
+            out += [(query, place + 1, name, -score) for place, (score, _, name) in enumerate(sorted(scored)[:k])]
+    return sorted(map(str, out))
+
+
+def result(found):
+    return sorted(str(tuple(r)) for r in found.collect())
+
+
+def every(n):
+    return F.col("vec_id") % n == 0
+
+
+def test_same_as_brute_force(spark, sf):
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    assert result(m.top_k(vectors, every(50))) == brute(vectors.collect())
+
+
+def test_many_blocks(spark, sf, monkeypatch):
+    for name, value in (("CANDIDATE_ROWS", 90), ("QUERY_ROWS", 3), ("LEAST_ROWS", 7), ("TOGETHER", 2), ("POOL", 1)):
+        monkeypatch.setattr(m, name, value)
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    assert result(m.top_k(vectors, every(50), k=3)) == brute(vectors.collect(), 3)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, -0.5, 0.1], 1, "x", 1, 1), (0, [1.0, -0.5, 0.1], 1, "x", 1, 1), (1, None, 1, "x", 1, 1), (2, [], 1, "x", 1, 1),
+        (50, [], 1, "x", 1, 1), (100, [nan, 1.0, 1.0], 1, "x", 1, 1), (3, [inf, 1.0, 1.0], 1, "x", 1, 1), (4, [None, 1.0, 1.0], 1, "x", 1, 1),
+        (None, [1.0, 1.0, 1.0], 1, "x", 1, 1), (5, [0.3], 1, "x", 1, 1), (7, [0.25, 0.25, 0.25], 1, "x", 1, 1), (6, [0.25, 0.25, 0.25], 1, "x", 1, 1),
+        (150, [0.0, 0.0, 0.0], 1, "x", 1, 1), (200, [-1.0, 900.0, 0.0], 1, "x", 1, 1),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(m.top_k(df, every(50))) == brute(df.collect())
+    assert m.top_k(df.limit(0), every(50)).count() == 0
+    assert m.top_k(df.where("vec_id = 100 or vec_id = 200"), every(50)).count() == 0  # one usable row has no other
+    assert m.top_k(df.where("vec_id = 5"), every(50)).count() == 0
+
+
+def test_number_kinds_and_ties():
+    draw = np.random.default_rng(4)
+    for scale in (3, 40_000, 40_000_000):  # single, double and integer arithmetic; many ties at first
+        c = draw.integers(-scale, scale, (600, 12))
+        c[100:300] = c[0]  # copies
+        q, rows, names = c[:40], np.arange(600) + 5, draw.permutation(600)
+        score = q @ c.T
+        want = []
+        for i in range(40):
+            order = sorted((j for j in range(600) if j != i), key=lambda j: (-score[i, j], names[j]))[:4]
+            want += [(i + 5, j + 5, int(score[i, j])) for j in order]
+        found = m.search_block(q, rows[:40], c, rows, names, 4)
+        assert sorted(zip(*(x.tolist() for x in found), strict=True)) == sorted(want)

@@ -68,9 +68,9 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, at - at[0]
 
 
-def find_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each word; words never cross texts."""
-    inside = ~SPACE[data]
+def find_words(data: np.ndarray, at: np.ndarray, outside: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each word; words never cross texts. `outside` marks the bytes between words."""
+    inside = ~outside[data]
     n = len(data)
     after = np.zeros(n, bool)  # the byte before it belongs to the same text and to a word
     after[1:] = inside[:-1]
@@ -93,6 +93,16 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(value + (ends - starts).astype(U64))
 
 
+def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each span's bytes among the different ones, and those different ones."""
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    letters = pa.py_buffer(np.ascontiguousarray(data[ranges(starts, lengths)]))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), letters])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data)
 

@@ -104,9 +104,48 @@ SECRET_SCAN = f"""with doc as (select row_number() over () as rid, doc_id, coale
   sha256(coalesce({_LIST} filter (kind in ({_BASE_KINDS})), '')) as base_sha256, coalesce({_LIST}, '') as spans, count(*) filter (ord >= {len(BASE)}) as n_linked
   from doc left join kept using (rid) group by rid, doc_id"""
 
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TABLE = _CRC[: _CRC.index("tails as")].rstrip().rstrip(",")
+
+
+def _features(name: str, key: str, table: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""{name}_words as (select row_number() over () as rid, {key}, regexp_extract_all({lower}, '{_ALNUM}') as w from {table}),
+  {name} as (select rid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as x from {name}_words)"""
+
+
+IMPORTANCE = f"""with {_features('d', 'doc_id', 'documents')}, {_features('b', 'item_id', 'benchmark')}, {_TABLE},
+  word as (select distinct x from (select x from d union all select x from b)),
+  code as (select x, xor(list_reduce(list_concat([4294967295], list_transform(range(cast(len(hex(encode(x))) / 2 as bigint)),
+    lambda i: cast('0x' || substr(hex(encode(x)), cast(2 * i + 1 as int), 2) as bigint))),
+    lambda c, v: xor(c >> 8, t[cast((xor(c, v) & 255) + 1 as int)])), 4294967295) % 10000 as bucket from word, tab),
+  raw as (select bucket, count(*) as s from d join code using (x) group by bucket),
+  wanted as (select bucket, count(*) as t from b join code using (x) group by bucket),
+  gain as (select bucket, cast(floor(1000 * ln(((coalesce(t, 0) + 1.0::double) * ((select count(*) from d) + 10000))
+    / ((coalesce(s, 0) + 1.0::double) * ((select count(*) from b) + 10000)))) as bigint) as g from raw full join wanted using (bucket)),
+  summed as (select rid, count(*) as n, sum(g) as total from d join code using (x) join gain using (bucket) group by rid),
+  weighed as (select rid, doc_id, len(w) as n_words, coalesce(n, 0) as n_features,
+    coalesce(cast((total - ((total % n) + n) % n) / n as bigint), 0) as weight,
+    cast('0x' || substr(sha256('7:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) as h from d_words left join summed using (rid)),
+  scored as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from weighed),
+  placed as (select rid, row_number() over (order by score desc, doc_id nulls last, rid) as place from scored where n_words >= 20)
+  select doc_id, n_features, weight, score, case when place <= (25 * (select count(*) from placed)) // 100 then place end as rank
+  from scored left join placed using (rid)"""
+
+_INTEGERS = "list_transform(embedding, lambda x: floor(256 * cast(x as double)))"
+TOPK_SEARCH = f"""with v as (select row_number() over () as rid, vec_id, {_INTEGERS} as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+  scored as (select q.rid, q.vec_id as query_id, c.rid as other, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from v q, v c where q.vec_id % 50 = 0 and q.rid <> c.rid)
+  select query_id, row_number() over (partition by rid order by score desc, vec_id nulls last, other) as rank, vec_id, score
+  from scored qualify rank <= 5"""
+
 SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_quality_rules": QUALITY_RULES,
     "op5_warc": WARC,
     "op10_secret_scan": SECRET_SCAN,
+    "op11_importance": IMPORTANCE,
+    "op12_topk_search": TOPK_SEARCH,
 }

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
     decontaminate,
+    importance,
     license_scan,
     lm_score,
     near_dup,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
     sentence_pieces,
     suffix_dedup,
+    topk_search,
     warc,
 )
 from tidemark.llm.oracle import SQL
@@ -74,6 +77,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summarise(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, F.col("vec_id") % topk_search.EVERY == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summarise(table(spark, sf_dir, "documents"), periodic_runs.made_periodic)
+
+
 __all__ = ["QUERIES", "SQL", "table"]
 
 QUERIES = {
@@ -89,5 +106,8 @@ QUERIES = {
         op8_license_scan,
         op9_lm_score,
         op10_secret_scan,
+        op11_importance,
+        op12_topk_search,
+        op13_periodic_runs,
     )
 }
