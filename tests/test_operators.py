@@ -151,8 +151,6 @@ def test_folds_are_contiguous_and_even(spark):
 def test_labels_are_sorted(spark):
     index = labels.label_index(classes(spark, {"b": 1, "B": 1, "a": 2}), "c")
     assert labels.label_list(index, "c") == ["B", "a", "b"]
-    with pytest.raises(ValueError):
-        labels.label_list(index, "c", limit=2)
 
 
 # --- encoders --------------------------------------------------------------------------
@@ -354,3 +352,20 @@ def test_halving_keeps_the_better_candidates(spark):
     )
     assert best == {"good": 9}
     assert [sum(t.round == r for t in trials) for r in range(3)] == [4, 2, 1]
+
+
+def test_broadcast_sizes_count_what_is_inside(spark):
+    row = (b"x" * 5000, ["y" * 100] * 60, {"k": "z" * 3000}, ("w" * 2000, [["v" * 10] * 50]), None)
+    df = spark.createDataFrame([row], "b binary, a array<string>, m map<string,string>, s struct<t:string,n:array<array<string>>>, e array<binary>")
+    size = df.select(skew._row_bytes(df)).first()[0]
+    assert 5000 + 6000 + 3000 + 2000 + 500 < size < 20_000
+    assert skew.is_small(df, size) and not skew.is_small(df, size - 1)
+    assert skew.is_small(df.limit(0), 0)
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    df = classes(spark, {"a": 95, "b": 7, "d": 2})
+    assert {r["c"]: r["_salts"] for r in skew.hot_keys(df, "c", most=10).collect()} == {"a": 10}
+    dim = spark.createDataFrame([("a", 1), ("b", 2)], "c string, v int")
+    plain = sorted(map(str, df.join(dim, "c", "left").collect()))
+    assert sorted(map(str, skew.lookup(df, dim, "c", limit=0).select("c", *df.drop("c").columns, "v").collect())) == plain

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -13,29 +12,40 @@ from tidemark.session import checkpointed
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Target size of one window group; larger groups are cut into ordered cells.
 GROUP_ROWS = 5_000_000
-# At most this many groups can exceed total/HOT_GROUPS rows, which bounds every list kept on the driver.
-HOT_GROUPS = 4_000
+# A key with more rows than this is spread over copies of its dimension row, one for each so many rows.
+HOT_ROWS = 1_000_000
 SAMPLE_PER_CELL = 100
 
 
 # --- dimension joins -------------------------------------------------------------------
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    size = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
-        elif isinstance(field.dataType, T.ArrayType):
-            size = size + 16 * F.abs(F.coalesce(F.size(field.name), F.lit(0)))
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About the bytes a value takes in a row of Spark."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = 8 + F.octet_length(value)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType | T.ArrayType | T.StructType | T.MapType):
+            each = F.transform(value, lambda x: _bytes(x, kind.elementType))
+            size = 16 + F.aggregate(each, F.lit(0).cast("long"), lambda a, n: a + n)
         else:
-            size = size + 8
-    return size
+            size = 16 + 8 * F.size(value)
+    elif isinstance(kind, T.MapType):
+        size = _bytes(F.map_keys(value), T.ArrayType(kind.keyType)) + _bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(16))
+    else:
+        return F.lit(8).cast("long")
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    return sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16).cast("long"))
 
 
 def is_small(dim: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the measured size of a (stored) dimension allows a broadcast."""
-    return (dim.agg(F.sum(_row_bytes(dim).cast("long"))).first()[0] or 0) <= limit
+    return (dim.agg(F.sum(_row_bytes(dim))).first()[0] or 0) <= limit
 
 
 def measured(dim: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
@@ -44,13 +54,15 @@ def measured(dim: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, b
     return kept, is_small(kept, limit)
 
 
-def hot_values(df: DataFrame, key: str, share: float = 0.005) -> list:
-    """Values holding more than `share` of the rows: never more than 1/share of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    total, largest = counts.agg(F.sum("count"), F.max("count")).first()
-    if not total or largest <= share * total:
-        return []
-    return [r[0] for r in counts.where(F.col("count") > share * total).collect()]
+def hot_keys(df: DataFrame, key: str, most: int = HOT_ROWS, salts: int | None = None) -> DataFrame:
+    """(key, _salts): keys with more than `most` rows and how many parts of about so many rows they make.
+
+    `salts` sets the number of parts of the most frequent keys instead, whatever their rows.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if salts is not None:
+        return counts.orderBy(F.col("_rows").desc()).limit(64).select(key, F.lit(salts).cast("int").alias("_salts"))
+    return counts.where(F.col("_rows") > most).select(key, F.ceil(F.col("_rows") / most).cast("int").alias("_salts"))
 
 
 def lookup(
@@ -60,32 +72,40 @@ def lookup(
     how: str = "left",
     spread_by: Sequence[str] = (),
     limit: int = BROADCAST_BYTES,
-    salts: int = 64,
+    salts: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Join `df` to a dimension that is unique on `on`.
 
-    A dimension of measured small size is broadcast. A larger one is joined by shuffle, with the hot
-    keys of `df` spread over `salts` copies of their (single) dimension row. Say `small` where `dim` is part of a
-    stored table that was measured before.
+    A dimension of measured small size is broadcast. A larger one is joined by shuffle, with the hot keys of `df` spread
+    over copies of their (single) dimension row, so that each copy meets at most about `HOT_ROWS` rows. Say `small` where
+    `dim` is part of a stored table that was measured before.
     """
     kept, small = measured(dim, limit) if small is None else (dim, small)
     if small:
         return df.join(F.broadcast(kept), on, how)
-    hot = hot_values(df, on)
-    if not hot:
+    hot, few = measured(hot_keys(df, on, salts=salts))
+    # Each hot key stands for HOT_ROWS rows or more: beyond the size of a broadcast only adaptive skew joins are left.
+    if not few or hot.isEmpty():
         return df.join(kept, on, how)
-    spread = [F.col(c) for c in (spread_by or [c for c in df.columns if c != on])]
-    left = df.withColumn(
-        "_salt", F.when(F.col(on).isin(hot), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
-    )
-    copies = F.when(F.col(on).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return left.join(kept.withColumn("_salt", F.explode(copies)), [on, "_salt"], how).drop("_salt")
+    spread = [F.col(f"`{c}`") for c in (spread_by or [c for c in df.columns if c != on])]
+    parts = F.coalesce("_salts", F.lit(1))
+    left = df.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0), parts - 1))
+    right = kept.join(F.broadcast(hot), on, "left").withColumn("_salt", copies).drop("_salts")
+    return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
 # --- ordered cells ---------------------------------------------------------------------
 
 
+def _joined(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join `df` as l to a table of a few rows per group as h, groups being equal where both are null."""
+    kept, small = measured(table)
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    return df.alias("l").join((F.broadcast(kept) if small else kept).alias("h"), same, how)
+
+
 def with_cells(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = GROUP_ROWS, cell: str = "_cell"
 ) -> DataFrame:
@@ -93,23 +113,15 @@ def with_cells(
 
     Groups up to `max_rows` rows get the single cell 0. Larger ones are cut at sampled values of the order
     columns into cells of about `max_rows` rows. `order` must be unique inside a group. The cut points decide
-    only the balance, never a result; they are literals once drawn, so a retried task sees the same cells.
+    only the balance, never a result; they are a checkpointed table once drawn, so a retried task sees the same cells.
     """
     sizes = df.groupBy(*keys).count()
-    total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
-    ceiling = max(max_rows, (total or 0) // HOT_GROUPS)
-    if not total or largest <= ceiling:
+    largest = sizes.agg(F.max("count")).first()[0]
+    if not largest or largest <= max_rows:
         return df.withColumn(cell, F.lit(0))
-    hot = sizes.where(F.col("count") > ceiling).collect()  # fewer than HOT_GROUPS, by the choice of ceiling
-
-    spark = df.sparkSession
-    key_types = [df.schema[k] for k in keys]
-    hot_schema = T.StructType([*key_types, T.StructField("_rows", T.LongType())])
-    hot_keys = spark.createDataFrame([(*[r[k] for k in keys], r["count"]) for r in hot], hot_schema)
-    same_group = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    in_hot = df.alias("l").join(F.broadcast(hot_keys).alias("h"), same_group, "inner")
+    in_hot = _joined(df, sizes.where(F.col("count") > max_rows).select(*keys), keys, "inner")
     # Keep about SAMPLE_PER_CELL rows per future cell, then cut at every SAMPLE_PER_CELL-th of them.
-    rate = F.lit(float(SAMPLE_PER_CELL)) / ceiling
+    rate = F.lit(float(SAMPLE_PER_CELL)) / max_rows
     draw = F.pmod(F.xxhash64(*[F.col(f"l.{c}") for c in order]), F.lit(1_000_000_007)) / 1_000_000_007.0
     sample = in_hot.where(draw < rate).select(
         *[F.col(f"l.{k}").alias(k) for k in keys], F.struct(*[F.col(f"l.{c}").alias(c) for c in order]).alias("_at")
@@ -121,23 +133,18 @@ def with_cells(
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_at")).alias("_cuts"))
     )
-    drawn = cuts.collect()  # at most 2 * HOT_GROUPS cut points in all
-    if not drawn:
-        return df.withColumn(cell, F.lit(0))
-    width = math.isqrt(max(len(r["_cuts"]) for r in drawn)) + 1
-    cut_rows = [(*[r[k] for k in keys], r["_cuts"], r["_cuts"][::width]) for r in drawn]
-    table = spark.createDataFrame(cut_rows, T.StructType([*cuts.schema, T.StructField("_marks", cuts.schema["_cuts"].dataType)]))
-    joined = df.alias("l").join(
-        F.broadcast(table).alias("h"), [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys], "left"
-    )
+    # Every _width-th cut is a mark: count the marks passed, then the cuts passed behind the last of them.
+    cuts = cuts.withColumn("_width", F.floor(F.sqrt(F.size("_cuts"))).cast("int") + 1)
+    table = cuts.withColumn("_marks", F.filter("_cuts", lambda at, i: i % F.col("_width") == 0))
+    joined = _joined(df, table, keys, "left")
     here = F.struct(*[F.col(f"l.{c}") for c in order])
 
     def passed(cuts: Column) -> Column:
         return F.size(F.filter(cuts, lambda at: at <= here))
 
-    # Every width-th cut is a mark: count the marks passed, then the cuts passed behind the last of them.
+    width = F.col("h._width")
     marks = joined.withColumn("_mark", passed(F.col("h._marks")) - 1)
-    block = F.slice(F.col("h._cuts"), F.col("_mark") * width + 1, F.lit(width))
+    block = F.slice(F.col("h._cuts"), F.col("_mark") * width + 1, width)
     number = F.when(F.col("_mark") >= 0, F.col("_mark") * width + passed(block)).otherwise(0)
     return marks.select("l.*", F.coalesce(number, F.lit(0)).cast("int").alias(cell, metadata={"cut": True}))
 
