@@ -8,10 +8,13 @@ of its first point. Two bags agree in a slot with probability sum(min)/sum(max),
 Points are drawn in order of time and only up to a horizon by which all slots are filled (a larger one for the few
 documents where one stays empty), so the work per document does not depend on its length.
 
-Documents that agree in a band of slots are candidates. They are first compared with one member of each band bucket, the
-one that meets the most others. Buckets whose members are then not all in one class are compared within: a task gets a
-bucket (a large one in blocks) and reports the links between classes, so that no candidate pair is left undecided and
-no pairs are written out but the linked ones.
+Documents that agree in a band of slots are candidates. Texts of candidates are read once and become sets of numbered
+windows (the second copy of a window is another element than the first), so that the overlap of two bags is the number
+of elements two sets share; texts themselves are never sent to a comparison. All members of a band bucket are first
+compared with one of them, the pivot, which is the one that meets the most others. A bucket is settled when its members
+beside the pivot are all of one class. The others are compared within: a task gets a bucket (a large one in pairs of
+blocks, dealt by the bytes of their sets) and reports one link for two classes, so that no candidate pair is left
+undecided and no pairs are written out but linked ones.
 """
 
 from __future__ import annotations
@@ -23,17 +26,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.arrays import U64, mix, multiset, ranges, shingles, slices
+from tidemark.llm.arrays import STEP, U64, mix, multiset, ranges, shingles, slices
 from tidemark.llm.components import components
-from tidemark.llm.texts import digest, fetch_texts
-from tidemark.operators.skew import is_small
+from tidemark.llm.texts import digest, find_texts
+from tidemark.operators.skew import is_small, lookup
 from tidemark.session import stored
 
 SIMILARITY = 0.8
 ROWS, BANDS = 6, 42  # a pair at 0.8 shares no band once in 300,000 cases
 SLOTS = ROWS * BANDS
 SLACK = 3.0
-BLOCK = 1000  # members of a bucket that one task holds beside as many others
+BLOCK_BYTES = 4 << 20  # of sets, about, that one task holds beside as many others
 
 
 def _unit(bits: np.ndarray) -> np.ndarray:
@@ -92,51 +95,85 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def numbered_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and element of each text's set, in order: windows, and mixed with its number each further copy."""
+    text, value = shingles(texts)
+    order = np.lexsort((value, text))
+    text, value = text[order], value[order]
+    head = np.ones(len(text), bool)
+    head[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+    copy = np.arange(len(text)) - np.maximum.accumulate(np.where(head, np.arange(len(text)), 0))
+    value = np.where(copy > 0, mix(value + copy.astype(U64) * STEP), value).view(np.int64)
+    order = np.lexsort((value, text))
+    return text[order], value[order]
+
+
+def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches, "text"):
+        text, value = numbered_windows(part.column("text"))
+        ends = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
+        sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(value))
+        yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(np.diff(ends)), sets], ["node", "size", "windows"])
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner and value of each element, and the size of each list."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False), sizes
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text_a", "text_b"):
-        n = part.num_rows
-        sides = [multiset(*shingles(part.column(c))) for c in ("text_a", "text_b")]
-        text, value, weight = (np.concatenate([x[k] for x in sides]) for k in range(3))
-        order = np.lexsort((value, text))
-        text, value, weight = text[order], value[order], weight[order]
-        same = np.flatnonzero((text[1:] == text[:-1]) & (value[1:] == value[:-1]))
-        shared = np.bincount(text[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=n)
-        whole = np.bincount(text, weights=weight, minlength=n) - shared
-        similar = (whole > 0) & (shared >= SIMILARITY * whole)
-        yield pa.RecordBatch.from_arrays([part.column("a").filter(pa.array(similar)), part.column("b").filter(pa.array(similar))], ["a", "b"])
+    for batch in batches:
+        sizes = (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()) * 8
+        ends = np.cumsum(sizes)
+        for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1):
+            if not len(at):
+                continue
+            part = batch.slice(int(at[0]), len(at))
+            (pair, value, size_a), (pair_b, value_b, size_b) = (_flat(part.column(c)) for c in ("windows_a", "windows_b"))
+            pair, value = np.concatenate([pair, pair_b]), np.concatenate([value, value_b])
+            order = np.lexsort((value, pair))
+            pair, value = pair[order], value[order]
+            twice = (pair[1:] == pair[:-1]) & (value[1:] == value[:-1])
+            shared = np.bincount(pair[1:][twice], minlength=part.num_rows)
+            similar = pa.array((shared > 0) & (shared >= SIMILARITY * (size_a + size_b - shared)))
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(similar), part.column("b").filter(similar)], ["a", "b"])
 
 
 def _links_inside(rows: pa.Table) -> pa.Table:
-    """Links between rows (node, root, text) of different roots."""
-    node, root = (rows.column(c).to_numpy() for c in ("node", "root"))
-    texts = rows.column("text").combine_chunks()
-    text, value, weight = multiset(*shingles(texts))
-    total = np.bincount(text, weights=weight, minlength=len(node))
+    """Links between classes of the rows (x, y, mine, root, size, windows): one for two roots whose members are alike.
+
+    Rows are those of two blocks; only pairs with one member in each are looked at, where the blocks are two.
+    """
+    root, mine = rows.column("root").to_numpy(), rows.column("mine").to_numpy()
+    holder, value, size = _flat(rows.column("windows").combine_chunks())
+    begin = np.cumsum(size) - size
     by_value = np.argsort(value, kind="stable")
-    holder, amount, ordered = text[by_value], weight[by_value], value[by_value]
-    first, last = np.searchsorted(ordered, value, "left"), np.searchsorted(ordered, value, "right")
-    at = np.searchsorted(text, np.arange(len(node) + 1))
-    names, of, sizes = np.unique(root, return_inverse=True, return_counts=True)
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
-    for i in np.flatnonzero(of != sizes.argmax()).tolist():  # every link has an end outside the largest class
-        own = slice(at[i], at[i + 1])
-        length = last[own] - first[own]
-        hit = ranges(first[own], length)
-        shared = np.bincount(holder[hit], weights=np.minimum(amount[hit], np.repeat(weight[own], length)), minlength=len(node))
-        whole = total + total[i] - shared
-        linked = np.flatnonzero((root != root[i]) & (whole > 0) & (shared >= SIMILARITY * whole))
-        left.append(np.minimum(node[i], node[linked]))
-        right.append(np.maximum(node[i], node[linked]))
-    empty = [np.zeros(0, np.int64)]
-    return pa.table({"a": np.concatenate(left or empty), "b": np.concatenate(right or empty)})
-
-
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts are similar enough."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long")
+    ordered, holder = value[by_value], holder[by_value]
+    names, of, counts = np.unique(root, return_inverse=True, return_counts=True)
+    two = rows.column("x")[0].as_py() != rows.column("y")[0].as_py()
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(of != counts.argmax()).tolist():  # every link has an end outside the largest class
+        own = value[begin[i] : begin[i] + size[i]]
+        first, last = np.searchsorted(ordered, own, "left"), np.searchsorted(ordered, own, "right")
+        shared = np.bincount(holder[ranges(first, last - first)], minlength=len(root))
+        alike = (of != of[i]) & (shared > 0) & (shared >= SIMILARITY * (size + size[i] - shared))
+        if two:
+            alike &= mine != mine[i]
+        for other in np.unique(of[alike]).tolist():
+            # The two classes are one from here on, so that no further link between them is looked for.
+            links.append((int(names[of[i]]), int(names[other])))
+            of[of == other] = of[i]
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar enough."""
+    left, right = (sets.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("windows").alias(f"windows_{c}")) for c in "ab")
+    # Bags whose sizes are further apart are never alike.
+    near = F.least("size_a", "size_b") >= SIMILARITY * F.greatest("size_a", "size_b")
+    return pairs.join(left, "a").join(right, "b").where(near).mapInArrow(_compare, "a long, b long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -146,7 +183,8 @@ def classes(docs: DataFrame) -> DataFrame:
     texts are equal. class_id is the smallest doc_id in the class; kept marks one row of each class: of the rows with
     that id one. Texts of fewer than five words (null: empty) have no windows and are alike only if equal; for null
     texts that means all null and empty texts are one class. A null doc_id takes part, comes last, and is class_id only
-    if the class has no other. Repeated rows are copies like any other. Other columns are not looked at.
+    if the class has no other. Repeated rows are copies like any other. A text of any length is signed and compared as a
+    whole, by one task, which needs about 40 bytes of memory for each of its own. Other columns are not looked at.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(rows.mapInArrow(_sign, "row long, doc_id long, digest binary, bands array<long>"), "signatures")
@@ -165,30 +203,32 @@ def classes(docs: DataFrame) -> DataFrame:
 
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = stored(texts.join(nodes, "node"), "needed")
-    found = fetch_texts(docs, needed)
+    read = find_texts(docs, needed).mapInArrow(_collect, "node long, size int, windows array<long>")
+    sets = stored(read.dropDuplicates(["node"]), "sets")
 
-    links = stored(_linked(pairs, found), "links")
+    links = stored(_linked(pairs, sets), "links")
     roots = components(links)
-    # Members of one bucket that are still apart are compared with each other, in the task that gets the bucket.
-    placed = grouped.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
-    apart = placed.groupBy("band").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").select("band")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    mine = F.pmod(F.xxhash64("node"), blocks)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    spread = placed.join(apart, "band").select("band", "node", "root", mine.alias("mine"), other)
-    spread = spread.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")}).join(found, "node")
-    more = spread.select("band", "x", "y", "node", "root", "text").groupBy("band", "x", "y").applyInArrow(_links_inside, "a long, b long")
-    more = stored(more.distinct(), "links")
+    # The pivot has met all members. Others that are still apart are compared with each other, where the bucket is.
+    placed = star.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = placed.join(sets.select("node", "size"), "node")
+    apart = placed.groupBy("band").agg((F.min("root") < F.max("root")).alias("apart"), F.sum("size").alias("total")).where("apart")
+    spread = placed.join(apart, "band").withColumn("blocks", F.ceil(8 * F.col("total") / BLOCK_BYTES))
+    spread = spread.withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    spread = spread.select("band", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "node", "root")
+    inside = spread.join(sets, "node").drop("node").groupBy("band", "x", "y").applyInArrow(_links_inside, "a long, b long")
+    more = stored(inside.distinct(), "links")
     roots = components(links.union(more)) if more.limit(1).count() else roots
 
     rooted = texts.join(roots, "node", "left").select("digest", "node", "least", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
-    of_text = stored(rooted.join(named, "root").select("digest", "root", "class_id"), "classes")
-    placed = signed.select("row", "doc_id", "digest").join(of_text, "digest")
+    of_text = stored(lookup(rooted, named, "root", spread_by=("node",)).select("digest", "root", "class_id"), "classes")
+    placed = stored(signed.select("row", "doc_id", "digest").join(of_text, "digest"), "placed")
     # Of the rows that carry the class's id the first one written stays.
     carries = F.col("doc_id").eqNullSafe(F.col("class_id"))
     each = placed.groupBy("root").agg(F.count(F.lit(1)).alias("class_rows"), F.min(F.when(carries, F.col("row"))).alias("stays"))
-    return placed.join(each, "root").select("row", "doc_id", "digest", "class_id", "class_rows", (F.col("row") == F.col("stays")).alias("kept"))
+    out = lookup(placed, each, "root", spread_by=("row",))
+    return out.select("row", "doc_id", "digest", "class_id", "class_rows", (F.col("row") == F.col("stays")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -196,18 +236,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by id and text, so of rows that share both any one may stay.
     """
-    placed = stored(classes(docs), "placed")
+    placed = stored(classes(docs), "kept")
     same = placed.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     same = stored(same.where("not kept or n > 1"), "dropped")
-    rows = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_digest": digest(F.col("text").cast("string"))})
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    rows = docs.select(own, F.col("doc_id").cast("long").alias("id"), digest(F.col("text").cast("string")).alias("digest"))
 
     def among(keys: DataFrame, how: str) -> DataFrame:
-        keys = keys.select(F.col("doc_id").alias("_i"), F.col("digest").alias("_d"))
+        keys = keys.select(F.col("doc_id").alias("key_id"), F.col("digest").alias("key_digest"))
         keys = F.broadcast(keys) if is_small(keys) else keys
-        return rows.join(keys, [rows["_digest"] == keys["_d"], rows["_id"].eqNullSafe(keys["_i"])], how)
+        return rows.join(keys, [rows["digest"] == keys["key_digest"], rows["id"].eqNullSafe(keys["key_id"])], how)
 
     out = among(same, "left_anti")
     twins = same.where("kept")
     if twins.limit(1).count():
-        out = out.unionByName(among(twins, "left_semi").dropDuplicates(["_id", "_digest"]))
-    return out.drop("_id", "_digest")
+        out = out.union(among(twins, "left_semi").dropDuplicates(["id", "digest"]))
+    return out.select("own.*")

@@ -13,8 +13,8 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def fetch_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows (node, text) for `wanted` (node, digest, least), from `docs` (doc_id, text).
+def find_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (node, text) for `wanted` (node, digest, least), from `docs` (doc_id, text), more than one only for repeated rows.
 
     `least` is the smallest doc_id of the rows with that text, or null if none has an id: the rows that carry it stand
     for all copies, so a text is fetched once however many copies it has. Only the wanted texts are shuffled while
@@ -25,4 +25,9 @@ def fetch_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     keys = wanted.select("node", F.col("digest").alias("_key"), F.col("least").alias("_least"))
     keys = F.broadcast(keys) if is_small(wanted) else keys
     found = rows.join(keys, [rows["_digest"] == keys["_key"], rows["_id"].eqNullSafe(keys["_least"])])
-    return stored(found.select("node", "text").dropDuplicates(["node"]), "texts")
+    return found.select("node", "text")
+
+
+def fetch_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row (node, text) for each of `wanted`, stored; see `find_texts`."""
+    return stored(find_texts(docs, wanted).dropDuplicates(["node"]), "texts")
