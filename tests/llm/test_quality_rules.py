@@ -3,6 +3,9 @@ import re
 import zlib
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidemark.llm import quality_rules as q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -19,8 +22,9 @@ def base(text):
 
 
 def grams(text):
-    codes = [zlib.crc32(w[-2:].encode()) for w in WORD.findall(text or "")]
-    return [(a * q.PAIR_STEP + b) % q.BUCKETS for a, b in zip([0, *codes], codes)]
+    words = WORD.findall(text or "")
+    codes = [zlib.crc32(w[-2:].encode()) for w in words]
+    return [(a * q.PAIR_STEP + b) % q.BUCKETS for a, b in zip([0, *codes], codes)] + [zlib.crc32(w.encode()) * q.WORD_STEP % q.BUCKETS for w in words]
 
 
 def check(docs, labels, rated):
@@ -30,15 +34,20 @@ def check(docs, labels, rated):
         raw.update(grams(r.text))
         if r.doc_id in good:
             trusted.update(grams(r.text))
-    n, t = sum(raw.values()), sum(trusted.values())
-    ratio = lambda b: round(1e6 * (math.log((trusted[b] + 1) / (t + q.BUCKETS)) - math.log((raw[b] + 1) / (n + q.BUCKETS)))) if t else 0
+    all_raw, all_trusted = sum(raw.values()), sum(trusted.values())
+
+    def ratios(r, found):
+        own, t = Counter(found), r.doc_id in good
+        share = (all_trusted - t * len(found)) / max(all_raw - len(found), 1)
+        return [round(1e6 * math.log((trusted[b] - t * own[b] + 1) / (share * (raw[b] - own[b]) + 1))) for b in found]
+
     want = []
     for r in docs:
         w, chars, symbols, lines, repeated = base(r.text)
-        found = [ratio(b) for b in grams(r.text)]
+        found = ratios(r, grams(r.text))
         score = sum(found) / len(found) / 1e6 if found else 0.0
         failed = w < 10 or 100 * repeated > 20 * w
-        want.append((r.doc_id, w, chars, symbols, lines, repeated, failed, not failed and sum(found) >= round(-0.05e6) * len(found), round(score, 7)))
+        want.append((r.doc_id, w, chars, symbols, lines, repeated, failed, not failed and sum(found) >= round(-0.6e6) * len(found), round(score, 7)))
     got = [
         (r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept, round(r.score, 7)) for r in rated
     ]
@@ -69,3 +78,15 @@ def test_labels_agree_with_verdicts(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = q.rate(spark.read.parquet(f"{sf}/documents.parquet"), labels).where("not base_failed").join(labels, "doc_id").collect()
     assert sum(r.kept == (r.quality == 1) for r in rows) >= 0.97 * len(rows)
+
+
+@pytest.mark.parametrize("share", [60, 30, 15])
+def test_withheld_labels_agree_with_verdicts(spark, share):
+    """Verdicts on texts whose labels are withheld do not depend on how many others are labelled."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    shown = F.pmod(F.hash("doc_id"), F.lit(100)) < share
+    rated = q.rate(spark.read.parquet(f"{sf}/documents.parquet"), labels.where(shown)).where("not base_failed")
+    rows = rated.join(labels.where(~shown), "doc_id").collect()
+    assert len(rows) > 100 and sum(r.quality == 0 for r in rows) > 5
+    assert sum(r.kept == (r.quality == 1) for r in rows) >= 0.97 * len(rows)

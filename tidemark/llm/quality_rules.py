@@ -1,11 +1,13 @@
 """Quality rules: hashed n-gram log-likelihood ratio of trusted text against the raw corpus.
 
-Every word gives the pair of its own last two characters and those of the word before it (none for the first word). The
-pairs are hashed into a fixed number of buckets; the trusted texts and all texts each give one multinomial over the buckets (add-one smoothing). A text's score is the mean
-over its pairs of log p(bucket | trusted) - log p(bucket | raw), and every text below a fixed score is rejected.
-No draw is involved: the same rows always give the same verdicts.
-
-Word endings carry the style of a text in any language, while whole words are too sparse to say much about a new text.
+N-grams of a text are its words and, for every word, the pair of its own last two characters and those of the word before
+it (none for the first word): words carry what is said, endings the style of a text in any language, also where words are
+new. They are hashed into a fixed number of buckets. All texts and the trusted ones each give one multinomial over the
+buckets. Raw counts are first scaled to the size of the trusted text, then both get the same pseudo-count, so that a
+bucket of which the trusted text says little has ratio 0, however much or little of the corpus is labelled. A text's own
+n-grams are left out of both counts when it is scored: a label does not lift the text that carries it, and a rare word
+does not speak against the text that brought it. The score is the mean log ratio over the n-grams of the text, and every
+text below a fixed score is rejected. No draw is involved: the same rows always give the same verdicts.
 """
 
 from __future__ import annotations
@@ -13,117 +15,140 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.words import add_word_hashes, window_hashes, words
-from tidemark.operators.skew import lookup
+from tidemark.operators.skew import lookup, measured
 from tidemark.session import stored
 
 BUCKETS = 16381  # a prime: the size of both multinomials, whatever the corpus
-THRESHOLD = -0.05  # least mean log ratio of a kept text
+THRESHOLD = -0.6  # least mean log ratio of a kept text
+PSEUDO = 1.0  # added to both counts of a bucket
 MIN_WORDS = 10
 MAX_REPEATED = 20  # percent of words in repeated windows
 SCALE = 1_000_000  # log ratios are whole millionths, so that their sums do not depend on order
-PAIR_STEP = 1_000_003
+PAIR_STEP, WORD_STEP = 1_000_003, 31
+
+
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
 
+def _unpacked(docs: DataFrame) -> list[Column]:
+    """The columns of `docs` that are not replaced, out of the struct `own`."""
+    return [F.col(f"own.`{c}`").alias(c) for c in docs.columns if c.lower() not in ADDED]
 
-def with_buckets(df: DataFrame, text: str, buckets: int = BUCKETS) -> DataFrame:
-    """Add `_words` and `_grams`: for each word the bucket of the pair (ending of the word before, its own ending)."""
-    out = df.withColumn("_words", words(F.col(text)))
-    out = out.withColumn("_codes", F.transform("_words", lambda w: F.crc32(F.substring(w, -2, 2))))
+
+def with_buckets(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Add to `text` the columns `words` and `grams`: the buckets of all pairs of endings, then those of all words."""
+    out = df.withColumn("words", words(F.col("text")))
+    out = out.withColumn("codes", F.transform("words", lambda w: F.crc32(F.substring(w, -2, 2))))
 
     def pair(code: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(F.col("_codes"), i - 1), F.lit(0))
+        before = F.coalesce(F.get(F.col("codes"), i - 1), F.lit(0))
         return ((before * PAIR_STEP + code) % buckets).cast("int")
 
-    return out.withColumn("_grams", F.transform("_codes", pair)).drop("_codes")
-
+    whole = F.transform("words", lambda w: ((F.crc32(w) * WORD_STEP) % buckets).cast("int"))
+    return out.withColumn("grams", F.concat(F.transform("codes", pair), whole)).drop("codes")
 
-def fit_ratios(docs: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """One row (bucket, ratio) for each bucket: whole millionths of log p(trusted) - log p(raw).
 
-    Counts cover all rows. `trusted` is a boolean; null counts as false. With no trusted n-gram every ratio is 0.
-    """
-    spark = docs.sparkSession
-    rows = with_buckets(docs.select(F.col(text).alias("_text"), F.coalesce(trusted, F.lit(False)).alias("_good")), "_text", buckets)
+def fit_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows (bucket, raw, good) from all rows of `texts` (text, trusted): n-grams of all and of the trusted texts."""
+    rows = with_buckets(texts, buckets)
     # explode() would add a filter on the array's size, and that filter would recompute the array below every step.
-    counts = (
-        rows.select(F.explode_outer("_grams").alias("bucket"), "_good")
-        .where("bucket is not null")
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("raw"), F.count_if("_good").alias("good"))
-    )
-    counts = stored(counts, "gram-counts")
-    total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
-    good = (F.coalesce("good", F.lit(0)) + 1) / (total["good"] + buckets)
-    raw = (F.coalesce("raw", F.lit(0)) + 1) / (total["raw"] + buckets)
-    ratio = F.round((F.log(good) - F.log(raw)) * SCALE).cast("long") if total["good"] else F.lit(0).cast("long")
-    return every.select("bucket", ratio.alias("ratio"))
+    counts = rows.select(F.explode_outer("grams").alias("bucket"), "trusted").where("bucket is not null")
+    return counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("good"))
+
+
+def _constant(values: list[int]) -> Column:
+    """An array that the driver hands out inside the plan; the number of buckets is fixed, so its size is too."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _with_ratio_sums(df: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Add `n` and `sum`: the number of n-grams of each text and the sum of their log ratios in whole millionths."""
+    model = {r["bucket"]: (r["raw"], r["good"]) for r in counts.collect()}
+    raw, good = ([model.get(b, (0, 0))[k] for b in range(buckets)] for k in (0, 1))
+    df = df.withColumns({"sorted_grams": F.sort_array("grams"), "n": F.size("grams").cast("long")})
+    at = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.size("grams") - 1)).otherwise(F.array().cast("array<int>"))
+    first = F.filter(at, lambda i: (i == 0) | (F.get(F.col("sorted_grams"), i) != F.get(F.col("sorted_grams"), i - 1)))
+    df = df.withColumn("heads", first)
+    own = F.when(F.col("trusted"), F.col("n")).otherwise(0)
+    share = (F.lit(float(sum(good))) - own) / F.greatest(F.lit(sum(raw)) - F.col("n"), F.lit(1))
+    df = df.withColumn("share", share)
+
+    def term(i: Column, k: Column) -> Column:
+        bucket, times = F.get(F.col("sorted_grams"), i), F.coalesce(F.get(F.col("heads"), k + 1), F.size("sorted_grams")) - i
+        with_trust = F.get(_constant(good), bucket) - F.when(F.col("trusted"), times).otherwise(0) + PSEUDO
+        expected = F.col("share") * (F.get(_constant(raw), bucket) - times) + PSEUDO
+        return times * F.round(F.log(with_trust / expected) * SCALE).cast("long")
+
+    df = df.withColumn("terms", F.transform("heads", term))
+    return df.withColumn("sum", F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a + x))
 
 
-def assess(docs: DataFrame, ratios: DataFrame, text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
-    """Add the counts, the score and the verdict to every row; all columns of `docs` stay.
+def assess(docs: DataFrame, counts: DataFrame, trusted: Column, text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+    """Add the counts, the score and the verdict to every row; all columns of `docs` stay as they are.
 
-    Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint), base_failed, score, kept. A text with
-    no word has score 0 and fails the base rules. Columns of `docs` with these names are replaced.
+    `trusted` says which rows the counts hold as trusted; null counts as false. Added: n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words (bigint), base_failed, score, kept; columns of `docs` with these names are replaced. A
+    text with no word (null, empty) has score 0 and fails the base rules. A text of any length is rated as a whole, in
+    one row: it needs about 100 bytes of memory for each of its words.
     """
-    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
-    own = [c for c in docs.columns if c.lower() not in added]
-    df = docs.select(*[F.col(f"`{c}`") for c in own], F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    df = with_buckets(df, "_text", buckets)
-    df = add_word_hashes(df, "_words", "_hashes").withColumn("_coarse", window_hashes("_hashes", (0, 2, 4)))
+    columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED]
+    own = F.struct(*(columns or [F.lit(0).alias("nothing")])).alias("own")
+    df = docs.select(own, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.coalesce(trusted, F.lit(False)).alias("trusted"))
+    df = with_buckets(df, buckets)
+    df = add_word_hashes(df, "words", "hashes").withColumn("coarse", window_hashes("hashes", (0, 2, 4)))
     # A repeated window repeats its first, third and fifth word as well, which most texts never do: only the others
     # need whole windows and the sort that brings equal ones together.
-    maybe = F.size(F.array_distinct("_coarse")) < F.size("_coarse")
-    df = df.withColumn("_windows", F.when(maybe, window_hashes("_hashes")))
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    df = df.withColumn("_sorted", F.when(repeats, F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    maybe = F.size(F.array_distinct("coarse")) < F.size("coarse")
+    df = df.withColumn("windows", F.when(maybe, window_hashes("hashes")))
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    df = df.withColumn("ordered", F.when(repeats, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
 
     def twin(x: Column, i: Column) -> Column:
-        other = lambda k: F.get(F.col("_sorted"), k)["h"] == x["h"]
+        other = lambda k: F.get(F.col("ordered"), k)["h"] == x["h"]
         return F.coalesce(other(i - 1), F.lit(False)) | F.coalesce(other(i + 1), F.lit(False))
 
-    df = df.withColumn("_twins", F.sort_array(F.transform(F.filter("_sorted", twin), lambda x: x["i"])))
+    df = df.withColumn("twins", F.sort_array(F.transform(F.filter("ordered", twin), lambda x: x["i"])))
     # Windows overlap: one that starts k words before the next repeated one adds at most k words.
-    step = F.transform("_twins", lambda at, i: F.least(F.lit(5), F.coalesce(F.get(F.col("_twins"), i + 1) - at, F.lit(5))))
+    step = F.transform("twins", lambda at, i: F.least(F.lit(5), F.coalesce(F.get(F.col("twins"), i + 1) - at, F.lit(5))))
     repeated = F.coalesce(F.aggregate(step, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
 
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = df.withColumn("_lines", lines)
-    # The model has a fixed number of buckets, so the driver can hand it out inside the plan, as one constant array.
-    model = {r["bucket"]: r["ratio"] for r in ratios.collect()}
-    table = F.split(F.lit(",".join(str(model.get(b, 0)) for b in range(buckets))), ",").cast("array<bigint>")
+    df = df.withColumn("lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    df = _with_ratio_sums(df, counts, buckets)
     df = df.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_words": F.size("words").cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "n_symbols": F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
             "n_repeat_words": repeated,
-            "_sum": F.aggregate("_grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table, b)),
-            "_n": F.size("_grams").cast("long"),
         }
     )
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
-    enough = F.col("_sum") >= F.lit(round(threshold * SCALE)) * F.col("_n")
+    enough = F.col("sum") >= F.lit(round(threshold * SCALE)) * F.col("n")
     df = df.withColumns(
         {
-            "score": F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n") / SCALE).otherwise(F.lit(0.0)),
+            "score": F.when(F.col("n") > 0, F.col("sum") / F.col("n") / SCALE).otherwise(F.lit(0.0)),
             "kept": ~F.col("base_failed") & enough,
         }
     )
     # A filter on these columns must not move below the steps above, where it would compute all of them again, once per
     # word. An expression that is not deterministic holds it back.
     here = F.monotonically_increasing_id() >= 0
-    return df.select(*[F.col(f"`{c}`") for c in own], *[F.when(here, F.col(c)).alias(c) for c in added])
+    return df.select(*([F.col("own.*")] if columns else []), *[F.when(here, F.col(c)).alias(c) for c in ADDED])
 
 
 def rate(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Fit on `docs`, with the rows labelled quality 1 as the trusted text, and assess every row of `docs`.
+    """Count over `docs` (doc_id, text), with the rows labelled quality 1 as the trusted text, and assess every row of it.
 
     A document is trusted if any of its labels says 1. Null ids match no label. Repeated rows are each counted and each
-    returned. Empty tables give an empty result; with no label only the base rules reject.
+    returned. Empty tables give an empty result; with no trusted text all ratios are 0 and only the base rules reject.
+    All columns stay, whatever their names; see `assess`.
     """
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct().withColumn("_good", F.lit(True))
-    rows = docs.select(F.col("text").alias("_t"), F.col("doc_id").alias("_id"))
-    marked = lookup(rows, good, "_id", spread_by=("_t",))
-    ratios = fit_ratios(marked, F.col("_good"), "_t")
-    return assess(docs, ratios, "text", threshold)
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct().withColumn("trusted", F.lit(True))
+    good, small = measured(good)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    rows = docs.select(own, F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    marked = lookup(rows, good, "id", spread_by=("text",), small=small).withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    counts = stored(fit_counts(marked.select("text", "trusted")), "gram-counts")
+    rated = assess(marked, counts, F.col("trusted"), "text", threshold)
+    return rated.select(*_unpacked(docs), *ADDED)
