@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontaminate import CONTAINED
-from tidemark.llm.quality_rules import BUCKETS, MAX_REPEATED, MIN_WORDS, PAIR_STEP, SCALE, THRESHOLD
-from tidemark.llm.secret_scan import _OPAQUE, BASE, KINDS, LEAST_ACCESS, LEAST_VALUE, REACH, SCOPE, WEAK
+from tidemark.llm.quality_rules import BUCKETS, MAX_REPEATED, MIN_WORDS, PAIR_STEP, PSEUDO, SCALE, THRESHOLD, WORD_STEP
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = "array_to_string(w[i:i+4], ' ')"
@@ -37,7 +36,7 @@ WARC = f"""with p as (select page_id, coalesce(html, '') as h from pages), f as
 # CRC-32 by its usual table, which follows from the polynomial.
 _CRC = """tab as (select list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
     lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
-  tails as (select distinct right(x, 2) as tail from word),
+  tails as (select right(x, 2) as tail from word union select x from word),
   code as (select tail, xor(list_reduce(list_concat([4294967295], list_transform(range(cast(len(hex(encode(tail))) / 2 as bigint)),
     lambda i: cast('0x' || substr(hex(encode(tail)), cast(2 * i + 1 as int), 2) as bigint))),
     lambda c, b: xor(c >> 8, t[cast((xor(c, b) & 255) + 1 as int)])), 4294967295) as crc from tails, tab)"""
@@ -46,12 +45,16 @@ QUALITY_RULES = f"""with doc as (select row_number() over () as rid, doc_id, coa
   word as (select rid, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from listed),
   {_CRC},
   gram as (select rid, (coalesce(lag(crc) over (partition by rid order by i), 0) * {PAIR_STEP} + crc) % {BUCKETS} as b
-    from word join code on right(x, 2) = tail),
-  good as (select rid, max(case when quality = 1 then 1 else 0 end) as g from doc left join labels using (doc_id) group by rid),
-  total as (select count(*) as raw, coalesce(sum(g), 0) as good from gram join good using (rid)),
-  ratio as (select b, cast(round({SCALE} * (ln((sum(g) + 1) / (any_value(total.good) + {BUCKETS}.0)) - ln((count(*) + 1) / (any_value(total.raw) + {BUCKETS}.0)))) as bigint) as r
-    from gram join good using (rid), total group by b),
-  scored as (select rid, cast(sum(case when total.good > 0 then r else 0 end) as bigint) as s, count(*) as n from gram join ratio using (b), total group by rid),
+    from word join code on right(x, 2) = tail union all select rid, (crc * {WORD_STEP}) % {BUCKETS} from word join code on x = tail),
+  good as (select rid, coalesce(max(quality), 0) = 1 as trusted from doc left join (select * from labels where quality = 1) using (doc_id) group by rid),
+  own as (select rid, b, count(*) as o, any_value(trusted) as trusted from gram join good using (rid) group by rid, b),
+  whole_count as (select b, sum(o) as raw, coalesce(sum(o) filter (trusted), 0) as good from own group by b),
+  size as (select rid, sum(o) as n, coalesce(sum(o) filter (trusted), 0) as n_good from own group by rid),
+  total as (select sum(n) as raw, sum(n_good) as good from size),
+  share as (select rid, n, (total.good - n_good) / cast(greatest(total.raw - n, 1) as double) as share from size, total),
+  scored as (select rid, any_value(n) as n, cast(sum(o * cast(round({SCALE} * ln((good - case when trusted then o else 0 end + {PSEUDO}::double)
+    / (share * (raw - o) + {PSEUDO}::double))) as bigint)) as bigint) as s
+    from own join whole_count using (b) join share using (rid) group by rid),
   win as (select rid, unnest(list_transform(range(1, len(w) - 3), lambda i: {WINDOW})) as s, unnest(range(1, len(w) - 3)) as i from listed),
   twin as (select rid, i from win qualify count(*) over (partition by rid, s) > 1),
   again as (select rid, count(distinct i + k) as n_repeat_words from twin, range(5) r(k) group by rid),
@@ -66,45 +69,59 @@ QUALITY_RULES = f"""with doc as (select row_number() over () as rid, doc_id, coa
   case when n > 0 then cast(s as double) / n / {SCALE} else 0.0 end as score from whole"""
 
 
-def _quoted(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
+# Patterns in this engine's syntax and the order of the kinds; lengths are checked behind the matching.
+_KINDS = ("assign", "access", "hex", "identifier", "opaque", "endpoint")
+_PATTERNS = {
+    "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]+",
+    "hex": "[0-9a-f]+",
+    "identifier": r"""(?i:access_?key_?id|client_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""",
+    "opaque": "[A-Za-z0-9+/_-]+",
+    "endpoint": r"""(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D"'<>]{4,}""",
+    "scope": r"\n[\x20\x09\x0D]*\n",
+}
+_GOOD = {
+    "assign": "length(value) >= 6",
+    "access": "length(whole) >= 20",
+    "hex": "length(whole) >= 24",
+    "opaque": "length(whole) >= 20 and regexp_matches(whole, '[0-9]') and regexp_matches(whole, '[A-Z]') and regexp_matches(whole, '[a-z]')",
+}
+
 
+def _places(kind: str) -> str:
+    pattern = "'" + _PATTERNS[kind].replace("'", "''") + "'"
+    found, group = f"regexp_extract_all(t, {pattern})", f"regexp_extract_all(t, {pattern}, 1)"
+    return f"""select rid, '{kind}' as kind, {_KINDS.index(kind) if kind in _KINDS else -1} as ord, e - length(whole) as s, e from
+      (select rid, whole, value, sum(gap + length(whole)) over (partition by rid order by i) as e from
+        (select rid, i, {found}[i] as whole, {f"{group}[i]" if kind == "assign" else "''"} as value, length(string_split_regex(t, {pattern})[i]) as gap
+          from doc, lateral (select unnest(range(1, len({found}) + 1)) as i)))
+      where {_GOOD.get(kind, 'true')}"""
 
-def _places(kind: str, pattern: str) -> str:
-    pattern = _quoted(pattern.replace("(?<![A-Za-z0-9+/_-])", ""))  # runs are maximal without it as well
-    whole, group = f"regexp_extract_all(t, {pattern})", f"regexp_extract_all(t, {pattern}, 1)"
-    value = {"assign": f"{group}[i]", "opaque": f"case when {' and '.join(f'regexp_matches({whole}[i], {_quoted(p)})' for p in _OPAQUE)} then {whole}[i] end"}
-    order = KINDS.index(kind) if kind in KINDS else -1
-    return f"""select rid, '{kind}' as kind, {order} as ord, i, length(string_split_regex(t, {pattern})[i]) as gap,
-      coalesce(length({whole}[i]), 0) as len, length({value.get(kind, f'{whole}[i]')}) as value
-      from doc, lateral (select unnest(range(1, len({whole}) + 1)) as i)"""
 
+def _touched(kinds: str) -> str:
+    return f"exists (select 1 from part b where b.rid = a.rid and b.kind in ({kinds}) and b.s < a.e and a.s < b.e)"
 
-def _close(kinds: str) -> str:
-    at = f"case when kind in ({kinds}) then s end"
-    over = "partition by rid, scope order by s, ord, e rows between"
-    return f"""coalesce(s - last_value({at} ignore nulls) over ({over} unbounded preceding and 1 preceding) <= {REACH}, false)
-      or coalesce(first_value({at} ignore nulls) over ({over} 1 following and unbounded following) - s <= {REACH}, false)"""
 
+def _near(condition: str) -> str:
+    return f"exists (select 1 from fit b where b.rid = a.rid and b.scope = a.scope and ({condition}))"
 
-_BASE_KINDS = ", ".join(f"'{k}'" for k in BASE)
+
+_BASE_KINDS = "'assign', 'access', 'hex'"
 _LIST = "string_agg(kind || ':' || s || ':' || e, ',' order by s, ord)"
 SECRET_SCAN = f"""with doc as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
-  found as ({' union all '.join(_places(k, p) for k, p in {**BASE, **WEAK, 'scope': SCOPE}.items())}),
-  span as (select rid, kind, ord, value, len, sum(gap + len) over (partition by rid, kind order by i) as e from found),
-  fine as (select rid, kind, ord, cast(e - len as bigint) as s, cast(e as bigint) as e from span where value is not null
-    and (kind <> 'assign' or value >= {LEAST_VALUE}) and (kind <> 'access' or value >= {LEAST_ACCESS})),
-  swept as (select *, sum(case when kind = 'scope' then 1 else 0 end) over (partition by rid order by s, ord, e rows unbounded preceding) as scope from fine),
-  part as (select * from swept where kind <> 'scope'),
-  near as (select *, {_close("'assign', 'hex', 'opaque'")} as by_secret, {_close("'access', 'identifier'")} as by_name from part),
-  linked as (select * from near where kind in ({_BASE_KINDS}) or kind in ('identifier', 'endpoint') and by_secret or kind = 'opaque' and by_name),
-  covered as (select *, max(case when kind in ({_BASE_KINDS}) then e end) over (partition by rid order by s, ord rows unbounded preceding) as upto from linked),
-  kept as (select * from covered where kind in ({_BASE_KINDS}) or upto is null or upto <= s)
-  select doc_id, {', '.join(f"count(*) filter (kind = '{k}') as n_{k}" for k in BASE)},
-  sha256(coalesce({_LIST} filter (kind in ({_BASE_KINDS})), '')) as base_sha256, coalesce({_LIST}, '') as spans, count(*) filter (ord >= {len(BASE)}) as n_linked
+  found as (select rid, kind, ord, cast(s as bigint) as s, cast(e as bigint) as e from ({' union all '.join(_places(k) for k in _PATTERNS)})),
+  part as (select p.*, (select count(*) from found b where b.rid = p.rid and b.kind = 'scope' and b.s <= p.s) as scope from found p where kind <> 'scope'),
+  seen as (select *, {_touched("'endpoint'")} as on_endpoint, {_touched("'access', 'identifier'")} as on_name,
+    exists (select 1 from part b where b.rid = a.rid and b.kind in ('assign', 'hex') and b.s <= a.s and b.e >= a.e) as inside from part a),
+  fit as (select * from seen where not (kind = 'identifier' and on_endpoint or kind = 'opaque' and (on_endpoint or on_name or inside))),
+  kept as (select * from fit a where kind in ({_BASE_KINDS})
+    or kind = 'identifier' and {_near("b.kind in ('assign', 'hex', 'opaque')")}
+    or kind = 'opaque' and {_near("b.kind in ('access', 'identifier', 'endpoint')")}
+    or kind = 'endpoint' and {_near("b.kind = 'opaque' or b.kind in ('assign', 'hex') and not b.on_endpoint")})
+  select doc_id, {', '.join(f"count(*) filter (kind = '{k}') as n_{k}" for k in _KINDS[:3])},
+  sha256(coalesce({_LIST} filter (kind in ({_BASE_KINDS})), '')) as base_sha256, coalesce({_LIST}, '') as spans, count(*) filter (ord >= 3) as n_linked
   from doc left join kept using (rid) group by rid, doc_id"""
 
-
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _TABLE = _CRC[: _CRC.index("tails as")].rstrip().rstrip(",")
 

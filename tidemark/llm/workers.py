@@ -2,20 +2,6 @@
 
 from __future__ import annotations
 
-import os
+from tidemark.session import importable
 
-from pyspark.sql import SparkSession
-
-import tidemark
-
-
-def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers that start from now on find this package where the driver found it.
-
-    On a cluster the package is installed on the nodes or shipped with --py-files; then this changes nothing.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.abspath(tidemark.__file__)))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
-    return spark
+__all__ = ["importable"]
