@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.scalars import f1_band, f1_score, safe_div
 from tidemark.operators.skew import GROUP_ROWS, group_rank, is_small, running_sums, with_cells
+from tidemark.session import checkpointed
 
 ERROR_LABEL = "ERROR"  # fixed value: the prediction of a row that could not be scored
 
@@ -20,30 +21,35 @@ def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def class_names(pairs: DataFrame) -> list[str]:
-    """Sorted labels seen as actual or predicted."""
-    names = pairs.select(F.explode(F.array("actual", "predicted")).alias("class")).distinct()
-    return [r["class"] for r in names.orderBy("class").collect()]
+def class_table(pairs: DataFrame) -> DataFrame:
+    """(class): labels seen as actual or predicted."""
+    return pairs.select(F.explode(F.array("actual", "predicted")).alias("class")).distinct()
 
 
 def full_confusion(pairs: DataFrame, classes: Sequence[str] | None = None) -> DataFrame:
-    """Every cell of the matrix with its count and its share of the actual class; zero cells included."""
-    classes = list(classes) if classes is not None else class_names(pairs)
-    spark = pairs.sparkSession
-    cells = spark.createDataFrame([(c,) for c in classes], "actual string").withColumn(
-        "predicted", F.explode(F.array(*[F.lit(c) for c in classes]))
-    )
+    """Every cell of the matrix with its count and its share of the actual class; zero cells included.
+
+    The matrix has a cell for any two classes by its nature: its size is the square of their number, which no list of
+    classes passes the driver for.
+    """
+    if classes is None:
+        pairs = checkpointed(pairs)
+        names = checkpointed(class_table(pairs))
+    else:
+        names = pairs.sparkSession.createDataFrame([(c,) for c in classes], "class string")
+    row = names.agg(F.sort_array(F.collect_set("class"))).scalar()
+    cells = names.select(F.col("class").alias("actual"), F.explode(row).alias("predicted"))
     filled = cells.join(F.broadcast(pairs) if is_small(pairs) else pairs, ["actual", "predicted"], "left")
     n = F.coalesce("n", F.lit(0))
     total = F.sum(n).over(Window.partitionBy("actual"))
     return filled.select("actual", "predicted", n.alias("n"), safe_div(n, total).alias("share"))
 
 
-def ovr_counts(pairs: DataFrame) -> DataFrame:
-    """(class, tp, fp, fn), one against the rest."""
+def _sides() -> Column:
+    """What a pair says of its actual and of its predicted class."""
     hit = F.col("actual") == F.col("predicted")
     zero, n = F.lit(0).cast("long"), F.col("n")
-    sides = F.array(
+    return F.array(
         F.struct(
             F.col("actual").alias("class"),
             F.when(hit, n).otherwise(zero).alias("tp"),
@@ -57,14 +63,18 @@ def ovr_counts(pairs: DataFrame) -> DataFrame:
             zero.alias("fn"),
         ),
     )
-    return pairs.select(F.inline(sides)).groupBy("class").agg(
+
+
+def ovr_counts(pairs: DataFrame) -> DataFrame:
+    """(class, tp, fp, fn), one against the rest."""
+    return pairs.select(F.inline(_sides())).groupBy("class").agg(
         F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn")
     )
 
 
-def _prf() -> dict[str, Column]:
-    precision = safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
-    recall = safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
+def _prf(tp: str = "tp", fp: str = "fp", fn: str = "fn") -> dict[str, Column]:
+    precision = safe_div(F.col(tp), F.col(tp) + F.col(fp))
+    recall = safe_div(F.col(tp), F.col(tp) + F.col(fn))
     return {"precision": precision, "recall": recall, "f1": f1_score(precision, recall)}
 
 
@@ -112,42 +122,51 @@ def trajectory(
     predicted: str,
     order: Sequence[str],
     every: int = 20,
-    classes: Sequence[str] | None = None,
     max_rows: int = GROUP_ROWS,
+    offset: int = 0,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Macro metrics after every `every` rows: (rows_done, macro_precision, macro_recall, macro_f1)."""
+    """Macro metrics after every `every` rows: (rows_done, macro_precision, macro_recall, macro_f1).
+
+    A step changes the counts of the classes it holds; each change moves the sums of precision, recall and F1 over the
+    classes, and those sums are added up over the steps. So the work goes with the changes, not with steps x classes.
+    To go on where an earlier call ended, give its number of rows as `offset` and its confusion counts as `before`.
+    """
     ranked = group_rank(df.withColumn("_all", F.lit(0)), ["_all"], order, "_nth", max_rows)
-    step = ((F.col("_nth") - F.col("_nth") % every) / every).cast("long")
-    ranked = ranked.withColumn("_step", step)
-    full = ranked.groupBy("_step").agg(F.count("*").alias("_rows")).where(F.col("_rows") == every)
+    nth = F.col("_nth") + offset
+    ranked = ranked.withColumn("_step", ((nth - nth % every) / every).cast("long"))
     known = F.col(actual).isNotNull() & F.col(predicted).isNotNull() & (F.col(predicted) != ERROR_LABEL)
     pairs = ranked.where(known).groupBy(
         "_step", F.col(actual).alias("actual"), F.col(predicted).alias("predicted")
     ).agg(F.count("*").alias("n"))
-    classes = list(classes) if classes is not None else class_names(pairs)
-    hit, n, zero = F.col("actual") == F.col("predicted"), F.col("n"), F.lit(0).cast("long")
-    sides = F.array(
-        F.struct(F.col("actual").alias("class"), F.when(hit, n).otherwise(zero).alias("tp"), zero.alias("fp"),
-                 F.when(hit, zero).otherwise(n).alias("fn")),
-        F.struct(F.col("predicted").alias("class"), zero.alias("tp"), F.when(hit, zero).otherwise(n).alias("fp"),
-                 zero.alias("fn")),
-    )
-    change = pairs.select("_step", F.inline(sides))
-    grid = full.select("_step", F.explode(F.array(*[F.lit(c) for c in classes])).alias("class")).select(
-        "_step", "class", *[zero.alias(c) for c in ("tp", "fp", "fn")]
-    )
-    per_step = change.unionByName(grid).groupBy("_step", "class").agg(
-        *[F.sum(c).alias(f"_{c}") for c in ("tp", "fp", "fn")], F.count("*").alias("_n")
+    if before is not None:
+        pairs = pairs.unionByName(before.select(F.lit(-1).cast("long").alias("_step"), "actual", "predicted", "n"))
+    per_step = pairs.select("_step", F.inline(_sides())).groupBy("_step", "class").agg(
+        *[F.sum(c).alias(f"_{c}") for c in ("tp", "fp", "fn")]
     )
     cells = with_cells(per_step, ["class"], ["_step"], max_rows)
     sums = running_sums(cells, ["class"], ["_step"], {c: F.col(f"_{c}") for c in ("tp", "fp", "fn")})
-    upto = sums.withColumns({c: F.col(c) + F.col(f"_{c}") for c in ("tp", "fp", "fn")}).withColumns(_prf())
-    seen = F.col("tp") + F.col("fp") + F.col("fn") > 0
-    macro = upto.groupBy("_step").agg(
-        *[F.coalesce(F.avg(F.when(seen, F.col(c))), F.lit(0.0)).alias(f"macro_{c}") for c in ("precision", "recall", "f1")]
+    sums = sums.withColumns({f"_{c}": F.col(c) + F.col(f"_{c}") for c in ("tp", "fp", "fn")})
+    old, new = _prf(), _prf("_tp", "_fp", "_fn")
+    seen_before = (F.col("tp") + F.col("fp") + F.col("fn") > 0).cast("int")
+    seen_now = (F.col("_tp") + F.col("_fp") + F.col("_fn") > 0).cast("int")
+    change = {c: new[c] - old[c] for c in _MACRO} | {"seen": seen_now - seen_before}
+    moved = sums.groupBy("_step").agg(*[F.sum(x).alias(f"_d_{c}") for c, x in change.items()])
+    # Every full step has a row, whether it changes anything or not.
+    last = F.max(F.col("_nth") + offset + 1)
+    ends = ranked.agg(last.alias("_rows")).where(F.floor(F.col("_rows") / every) > offset // every).select(
+        F.explode(F.sequence(F.lit(offset // every).cast("long"), F.floor(F.col("_rows") / every) - 1)).alias("_step"),
+        F.lit(True).alias("_full"),
     )
-    done = ((F.col("_step") + 1) * every).alias("rows_done")
-    return macro.join(full, "_step", "left_semi").select(done, "macro_precision", "macro_recall", "macro_f1")
+    steps = moved.join(ends, "_step", "full").na.fill(0).withColumn("_all", F.lit(0))
+    cells = with_cells(checkpointed(steps), ["_all"], ["_step"], max_rows)
+    upto = running_sums(cells, ["_all"], ["_step"], {f"_s_{c}": F.col(f"_d_{c}") for c in (*_MACRO, "seen")})
+    seen = F.col("_s_seen") + F.col("_d_seen")
+    means = [F.when(seen > 0, (F.col(f"_s_{c}") + F.col(f"_d_{c}")) / seen).otherwise(F.lit(0.0)).alias(f"macro_{c}") for c in _MACRO]
+    return upto.where("_full").select(((F.col("_step") + 1) * every).alias("rows_done"), *means)
+
+
+_MACRO = ("precision", "recall", "f1")
 
 
 # --- results of several models ---------------------------------------------------------
