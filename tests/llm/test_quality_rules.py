@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 import zlib
@@ -29,17 +30,18 @@ def grams(text):
 
 def check(docs, labels, rated):
     good = {r.doc_id for r in labels if r.quality == 1 and r.doc_id is not None}
-    raw, trusted = Counter(), Counter()
+    fold = lambda r: int(hashlib.md5((r.text or "").encode()).hexdigest()[0], 16) % 4
+    raw, trusted = ([Counter() for _ in range(4)] for _ in range(2))  # by fold that is left out
     for r in docs:
-        raw.update(grams(r.text))
-        if r.doc_id in good:
-            trusted.update(grams(r.text))
-    all_raw, all_trusted = sum(raw.values()), sum(trusted.values())
+        for f in range(4):
+            if f != fold(r):
+                raw[f].update(grams(r.text))
+                trusted[f].update(grams(r.text) if r.doc_id in good else [])
+    share = [sum(trusted[f].values()) / max(sum(raw[f].values()), 1) for f in range(4)]
 
     def ratios(r, found):
-        own, t = Counter(found), r.doc_id in good
-        share = (all_trusted - t * len(found)) / max(all_raw - len(found), 1)
-        return [round(1e6 * math.log((trusted[b] - t * own[b] + 1) / (share * (raw[b] - own[b]) + 1))) for b in found]
+        f = fold(r)
+        return [round(1e6 * math.log((trusted[f][b] + 1) / (share[f] * raw[f][b] + 1))) for b in found]
 
     want = []
     for r in docs:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontaminate import CONTAINED
-from tidemark.llm.quality_rules import BUCKETS, MAX_REPEATED, MIN_WORDS, PAIR_STEP, PSEUDO, SCALE, THRESHOLD, WORD_STEP
+from tidemark.llm.quality_rules import BUCKETS, FOLDS, MAX_REPEATED, MIN_WORDS, PAIR_STEP, PSEUDO, SCALE, THRESHOLD, WORD_STEP
 
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = "array_to_string(w[i:i+4], ' ')"
@@ -47,14 +47,14 @@ QUALITY_RULES = f"""with doc as (select row_number() over () as rid, doc_id, coa
   gram as (select rid, (coalesce(lag(crc) over (partition by rid order by i), 0) * {PAIR_STEP} + crc) % {BUCKETS} as b
     from word join code on right(x, 2) = tail union all select rid, (crc * {WORD_STEP}) % {BUCKETS} from word join code on x = tail),
   good as (select rid, coalesce(max(quality), 0) = 1 as trusted from doc left join (select * from labels where quality = 1) using (doc_id) group by rid),
-  own as (select rid, b, count(*) as o, any_value(trusted) as trusted from gram join good using (rid) group by rid, b),
-  whole_count as (select b, sum(o) as raw, coalesce(sum(o) filter (trusted), 0) as good from own group by b),
-  size as (select rid, sum(o) as n, coalesce(sum(o) filter (trusted), 0) as n_good from own group by rid),
-  total as (select sum(n) as raw, sum(n_good) as good from size),
-  share as (select rid, n, (total.good - n_good) / cast(greatest(total.raw - n, 1) as double) as share from size, total),
-  scored as (select rid, any_value(n) as n, cast(sum(o * cast(round({SCALE} * ln((good - case when trusted then o else 0 end + {PSEUDO}::double)
-    / (share * (raw - o) + {PSEUDO}::double))) as bigint)) as bigint) as s
-    from own join whole_count using (b) join share using (rid) group by rid),
+  dealt as (select rid, cast('0x' || substr(md5(t), 1, 1) as int) % {FOLDS} as fold from doc),
+  per as (select fold, b, count(*) as raw, count(*) filter (trusted) as good from gram join dealt using (rid) join good using (rid) group by fold, b),
+  upto as (select f as fold, b, sum(case when fold <> f then raw else 0 end) as raw, sum(case when fold <> f then good else 0 end) as good
+    from per, range({FOLDS}) r(f) group by f, b),
+  total as (select fold, greatest(sum(raw), 1) as raw, sum(good) as good from upto group by fold),
+  ratio as (select fold, b, cast(round({SCALE} * ln((u.good + {PSEUDO}::double)
+    / (cast(total.good as double) / total.raw * u.raw + {PSEUDO}::double))) as bigint) as r from upto u join total using (fold)),
+  scored as (select rid, count(*) as n, cast(sum(r) as bigint) as s from gram join dealt using (rid) join ratio using (fold, b) group by rid),
   win as (select rid, unnest(list_transform(range(1, len(w) - 3), lambda i: {WINDOW})) as s, unnest(range(1, len(w) - 3)) as i from listed),
   twin as (select rid, i from win qualify count(*) over (partition by rid, s) > 1),
   again as (select rid, count(distinct i + k) as n_repeat_words from twin, range(5) r(k) group by rid),

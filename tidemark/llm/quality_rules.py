@@ -2,16 +2,18 @@
 
 N-grams of a text are its words and, for every word, the pair of its own last two characters and those of the word before
 it (none for the first word): words carry what is said, endings the style of a text in any language, also where words are
-new. They are hashed into a fixed number of buckets. All texts and the trusted ones each give one multinomial over the
-buckets. Raw counts are first scaled to the size of the trusted text, then both get the same pseudo-count, so that a
-bucket of which the trusted text says little has ratio 0, however much or little of the corpus is labelled. A text's own
-n-grams are left out of both counts when it is scored: a label does not lift the text that carries it, and a rare word
-does not speak against the text that brought it. The score is the mean log ratio over the n-grams of the text, and every
-text below a fixed score is rejected. No draw is involved: the same rows always give the same verdicts.
+new. They are hashed into a fixed number of buckets. All texts and the trusted ones each give one multinomial over the buckets. Raw counts are first scaled to the
+size of the trusted text, then both get the same pseudo-count, so that a bucket of which the trusted text says little has
+ratio 0, however much or little of the corpus is labelled. Texts are dealt into folds by a hash of their bytes, and a
+text is scored by the counts of the other folds: a label does not lift the text that carries it, nor its exact copies,
+and a rare word does not speak against the text that brought it. The score is the mean log ratio over the n-grams of the
+text, and every text below a fixed score is rejected. No draw is involved: the same rows always give the same verdicts.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.words import add_word_hashes, window_hashes, words
@@ -21,6 +23,7 @@ from tidemark.session import stored
 BUCKETS = 16381  # a prime: the size of both multinomials, whatever the corpus
 THRESHOLD = -0.6  # least mean log ratio of a kept text
 PSEUDO = 1.0  # added to both counts of a bucket
+FOLDS = 4  # a text is scored by the counts of the folds it is not in
 MIN_WORDS = 10
 MAX_REPEATED = 20  # percent of words in repeated windows
 SCALE = 1_000_000  # log ratios are whole millionths, so that their sums do not depend on order
@@ -48,52 +51,57 @@ def with_buckets(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return out.withColumn("grams", F.concat(F.transform("codes", pair), whole)).drop("codes")
 
 
+def fold_of(text: Column) -> Column:
+    """Fold of a text, by the first digit of its MD5."""
+    return (F.conv(F.substring(F.md5(text), 1, 1), 16, 10).cast("int") % FOLDS).cast("int")
+
+
 def fit_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Rows (bucket, raw, good) from all rows of `texts` (text, trusted): n-grams of all and of the trusted texts."""
-    rows = with_buckets(texts, buckets)
+    """Rows (fold, bucket, raw, good) from all rows of `texts` (text, trusted): n-grams of all and of the trusted texts."""
+    rows = with_buckets(texts.select("text", "trusted", fold_of(F.col("text")).alias("fold")), buckets)
     # explode() would add a filter on the array's size, and that filter would recompute the array below every step.
-    counts = rows.select(F.explode_outer("grams").alias("bucket"), "trusted").where("bucket is not null")
-    return counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("good"))
+    counts = rows.select("fold", F.explode_outer("grams").alias("bucket"), "trusted").where("bucket is not null")
+    return counts.groupBy("fold", "bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("trusted").alias("good"))
 
 
-def _constant(values: list[int]) -> Column:
-    """An array that the driver hands out inside the plan; the number of buckets is fixed, so its size is too."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """For each fold and bucket the log ratio in whole millionths, from the counts of the other folds.
+
+    `counts` has one row for each fold and bucket at most, so what meets on the driver does not grow with the corpus.
+    """
+    raw, good = ([[0] * buckets for _ in range(FOLDS)] for _ in range(2))
+    for r in counts.collect():
+        raw[r["fold"]][r["bucket"]], good[r["fold"]][r["bucket"]] = r["raw"], r["good"]
+    out = []
+    for fold in range(FOLDS):
+        others = [f for f in range(FOLDS) if f != fold]
+        all_raw, all_good = (sum(sum(x[f]) for f in others) for x in (raw, good))
+        share = all_good / max(all_raw, 1)
+        for b in range(buckets):
+            trusted, expected = sum(good[f][b] for f in others), share * sum(raw[f][b] for f in others)
+            out.append(round(SCALE * math.log((trusted + PSEUDO) / (expected + PSEUDO))))
+    return out
 
 
 def _with_ratio_sums(df: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
-    """Add `n` and `sum`: the number of n-grams of each text and the sum of their log ratios in whole millionths."""
-    model = {r["bucket"]: (r["raw"], r["good"]) for r in counts.collect()}
-    raw, good = ([model.get(b, (0, 0))[k] for b in range(buckets)] for k in (0, 1))
-    df = df.withColumns({"sorted_grams": F.sort_array("grams"), "n": F.size("grams").cast("long")})
-    at = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.size("grams") - 1)).otherwise(F.array().cast("array<int>"))
-    first = F.filter(at, lambda i: (i == 0) | (F.get(F.col("sorted_grams"), i) != F.get(F.col("sorted_grams"), i - 1)))
-    df = df.withColumn("heads", first)
-    own = F.when(F.col("trusted"), F.col("n")).otherwise(0)
-    share = (F.lit(float(sum(good))) - own) / F.greatest(F.lit(sum(raw)) - F.col("n"), F.lit(1))
-    df = df.withColumn("share", share)
-
-    def term(i: Column, k: Column) -> Column:
-        bucket, times = F.get(F.col("sorted_grams"), i), F.coalesce(F.get(F.col("heads"), k + 1), F.size("sorted_grams")) - i
-        with_trust = F.get(_constant(good), bucket) - F.when(F.col("trusted"), times).otherwise(0) + PSEUDO
-        expected = F.col("share") * (F.get(_constant(raw), bucket) - times) + PSEUDO
-        return times * F.round(F.log(with_trust / expected) * SCALE).cast("long")
-
-    df = df.withColumn("terms", F.transform("heads", term))
-    return df.withColumn("sum", F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a + x))
-
-
-def assess(docs: DataFrame, counts: DataFrame, trusted: Column, text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+    """Add `n` and `sum`: the number of n-grams of each text and the sum of their log ratios."""
+    # A constant array inside the plan; its size is fixed by the number of folds and buckets.
+    table = F.split(F.lit(",".join(map(str, log_ratios(counts, buckets)))), ",").cast("array<bigint>")
+    df = df.withColumns({"n": F.size("grams").cast("long"), "offset": fold_of(F.col("text")) * buckets})
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table, F.col("offset") + b))
+    return df.withColumn("sum", total)
+
+
+def assess(docs: DataFrame, counts: DataFrame, text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """Add the counts, the score and the verdict to every row; all columns of `docs` stay as they are.
 
-    `trusted` says which rows the counts hold as trusted; null counts as false. Added: n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words (bigint), base_failed, score, kept; columns of `docs` with these names are replaced. A
-    text with no word (null, empty) has score 0 and fails the base rules. A text of any length is rated as a whole, in
+    `counts` come from `fit_counts`. Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint),
+    base_failed, score, kept; columns of `docs` with these names are replaced. A text with no word (null, empty) has score 0 and fails the base rules. A text of any length is rated as a whole, in
     one row: it needs about 100 bytes of memory for each of its words.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED]
     own = F.struct(*(columns or [F.lit(0).alias("nothing")])).alias("own")
-    df = docs.select(own, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.coalesce(trusted, F.lit(False)).alias("trusted"))
+    df = docs.select(own, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     df = with_buckets(df, buckets)
     df = add_word_hashes(df, "words", "hashes").withColumn("coarse", window_hashes("hashes", (0, 2, 4)))
     # A repeated window repeats its first, third and fifth word as well, which most texts never do: only the others
@@ -147,8 +155,8 @@ def rate(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> Da
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct().withColumn("trusted", F.lit(True))
     good, small = measured(good)
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
-    rows = docs.select(own, F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    marked = lookup(rows, good, "id", spread_by=("text",), small=small).withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    counts = stored(fit_counts(marked.select("text", "trusted")), "gram-counts")
-    rated = assess(marked, counts, F.col("trusted"), "text", threshold)
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    marked = lookup(docs.select(F.col("doc_id").alias("id"), text), good, "id", spread_by=("text",), small=small)
+    counts = stored(fit_counts(marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))), "gram-counts")
+    rated = assess(docs.select(own, text), counts, "text", threshold)
     return rated.select(*_unpacked(docs), *ADDED)
