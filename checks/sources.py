@@ -70,7 +70,7 @@ def count_rows_by_file(spark: SparkSession, sf: str) -> DataFrame:
   cast(case when 15000.0 / total > 0.5 then 1 else ceil(total / 15000.0) end as bigint) as step,
   cast(case when total > 15000 then greatest(1, round_even(total / 15000.0, 0)) else 1 end as bigint) as stride from t""")
 def planned_rate(spark: SparkSession, sf: str) -> DataFrame:
-    total = files.estimate_rows(table(spark, sf, "lineitem"))
+    total = files.estimate_rows(spark, f"{sf}/lineitem.parquet")
     rate = sampling.plan_rate(total, 15_000)
     return rounded(spark.createDataFrame(
         [(total, rate.fraction, rate.step, rate.stride)], "total long, fraction double, step long, stride long"

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.evaluate import evaluate
 from tidemark.operators.sampling import hash_draw
@@ -56,14 +59,18 @@ def spark_params(params: Mapping) -> tuple[dict, list[str]]:
     return known, [k for k in params if k not in SPARK_NAMES]
 
 
-def cross_validate(df: DataFrame, make: Maker, params: Mapping, fold: str, actual: str, folds: int) -> list[float]:
-    """Macro F1 on each fold of a model fitted on the others."""
-    scores = []
-    for i in range(folds):
-        model = make(df.where(F.col(fold) != i), params)
-        held_out = model(df.where(F.col(fold) == i))
-        scores.append(evaluate(held_out, actual, "predicted").first()["macro_f1"])
-    return scores
+def fold_score(df: DataFrame, make: Maker, params: Mapping, fold: str, actual: str, i: int) -> float:
+    """Macro F1 on fold `i` of a model fitted on the others."""
+    model = make(df.where(F.col(fold) != i), params)
+    return evaluate(model(df.where(F.col(fold) == i)), actual, "predicted").first()["macro_f1"]
+
+
+def cross_validate(
+    df: DataFrame, make: Maker, params: Mapping, fold: str, actual: str, folds: int, threads: int = 4
+) -> list[float]:
+    """Macro F1 on each fold of a model fitted on the others; the folds are fitted side by side."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(lambda i: fold_score(df, make, params, fold, actual, i), range(folds)))
 
 
 @dataclass(frozen=True)
@@ -97,6 +104,35 @@ def class_sample(df: DataFrame, key: str, label: str, fold: str, fraction: float
     return kept.where(F.col("_nth") < F.greatest(F.lit(1), F.ceil(F.col("_size") * fraction))).select(*df.columns)
 
 
+LOG_SCHEMA = "search string, round int, candidate int, fold int, score double"
+
+
+class TrialLog:
+    """Finished folds of a search, under a folder: a search that is started again reads them and fits only the rest.
+
+    A search is known by a digest of its candidates, its seed, factor and folds; others may share the folder. One file is
+    written for each fold, after its score is known.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None, name: str) -> None:
+        self.spark, self.root, self.name = spark, root, name
+        self.done: dict[tuple[int, int, int], float] = {}
+        if root is not None:
+            try:
+                rows = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{root}/{name}").collect()  # one row per fit of the search
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                rows = []
+            self.done = {(r["round"], r["candidate"], r["fold"]): r["score"] for r in rows}
+
+    def add(self, number: int, candidate: int, fold: int, score: float) -> None:
+        self.done[number, candidate, fold] = score
+        if self.root is not None:
+            row = self.spark.createDataFrame([(self.name, number, candidate, fold, score)], LOG_SCHEMA)
+            row.coalesce(1).write.mode("append").parquet(f"{self.root}/{self.name}")
+
+
 def halving_search(
     df: DataFrame,
     make: Maker,
@@ -110,24 +146,38 @@ def halving_search(
     seed: int = 42,
     threads: int = 4,
     candidates: Sequence[Mapping] | None = None,
+    log: str | None = None,
 ) -> tuple[dict, list[Trial]]:
-    """Best parameters and all trials. Each round keeps the better third and gives it three times the rows."""
-    alive = list(enumerate(candidates or draw_all(space, n, seed)))
+    """Best parameters and all trials. Each round keeps the better third and gives it three times the rows.
+
+    All folds of all candidates of a round share one cached sample and one queue, from which `threads` driver threads
+    fit side by side, so a slow candidate holds up no other. With `log`, a folder, finished folds are written down and a
+    search that is called again after a crash goes on where it ended.
+    """
+    known = [dict(c) for c in (candidates or draw_all(space, n, seed))]
+    alive = list(enumerate(known))
     sizes = rounds(len(alive), factor)
+    name = hashlib.sha256(json.dumps([known, seed, factor, folds], sort_keys=True).encode()).hexdigest()[:16]
+    book = TrialLog(df.sparkSession, log, name)
     trials: list[Trial] = []
     for number, size in enumerate(sizes):
         alive = alive[:size]
         fraction = factor ** -(len(sizes) - 1 - number)
-        rows = class_sample(df, key, actual, fold, fraction, seed).persist()
-
-        def score(entry, rows=rows, number=number, fraction=fraction):
-            which, params = entry
-            marks = cross_validate(rows, make, params, fold, actual, folds)
-            return Trial(number, which, fraction, sum(marks) / len(marks), dict(params))
-
-        with ThreadPoolExecutor(threads) as pool:
-            done = list(pool.map(score, alive))
-        rows.unpersist()
+        queue = [(which, params, i) for which, params in alive for i in range(folds) if (number, which, i) not in book.done]
+        if queue:
+            rows = class_sample(df, key, actual, fold, fraction, seed).persist()
+
+            def score(entry, rows=rows, number=number):
+                which, params, i = entry
+                book.add(number, which, i, fold_score(rows, make, params, fold, actual, i))
+
+            try:
+                with ThreadPoolExecutor(threads) as pool:
+                    list(pool.map(score, queue))
+            finally:
+                rows.unpersist()
+        marks = {which: [book.done[number, which, i] for i in range(folds)] for which, _ in alive}
+        done = [Trial(number, which, fraction, sum(marks[which]) / folds, dict(params)) for which, params in alive]
         trials += done
         ranked = sorted(done, key=lambda t: (-t.score, t.candidate))
         alive = [(t.candidate, t.params) for t in ranked]

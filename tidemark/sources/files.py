@@ -10,7 +10,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.sources.schema import align, merge_schemas
 
@@ -135,9 +135,31 @@ def _plain(path: str) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def estimate_rows(df: DataFrame) -> int:
-    """Rows of a scan. Exact: counting reads no column, only the row counts in the Parquet footers."""
-    return df.count()
+# Lists the formats of the older reader, without Parquet: only the newer one answers aggregates from footers.
+FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_aggregate(spark: SparkSession, path: str | Sequence[str], *aggregates: Column) -> tuple[Row, str]:
+    """Counts, and minima and maxima of plain columns, of Parquet files, with the plan that gave them.
+
+    The aggregates are pushed into the scan, which then reads footers and no row; the plan names them under
+    `PushedAggregation`. Other aggregates are computed from the rows as usual.
+    """
+    before = {k: spark.conf.get(k, None) for k in FOOTERS}
+    for k, v in FOOTERS.items():
+        spark.conf.set(k, v)
+    try:
+        out = spark.read.parquet(*([path] if isinstance(path, str) else path)).agg(*aggregates)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return out.first(), plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def estimate_rows(spark: SparkSession, path: str | Sequence[str]) -> int:
+    """Rows of Parquet files, exact and from their footers alone."""
+    return footer_aggregate(spark, path, F.count(F.lit(1)).alias("n"))[0]["n"]
 
 
 # --- daily dumps -----------------------------------------------------------------------

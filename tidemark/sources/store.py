@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Model
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.parse import lenient_timestamp
+from tidemark.sources import versions
 
 
 def first_by_key(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
@@ -38,8 +38,9 @@ def write_feature_group(
 ) -> str:
     """Replace a feature group: unique keys, parsed event time, 64-bit integers, Parquet.
 
-    With `buckets` it becomes a catalog table bucketed and sorted by key, so that joining groups of one bucket
-    count needs no shuffle. Returns the path, or the table name.
+    The rows become the newest version of the group's folder, at once for all readers; see `versions`. With `buckets` it
+    becomes a catalog table bucketed and sorted by key, so that joining groups of one bucket count needs no shuffle;
+    such a table is dropped and made anew. Returns the path of the rows, or the table name.
     """
     rows = first_by_key(df, key, order)
     if event_time:
@@ -52,12 +53,18 @@ def write_feature_group(
         writer = rows.repartition(buckets, key).write.mode("overwrite").option("path", path)
         writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
         return table
-    rows.write.mode("overwrite").parquet(path)
-    return path
+    return versions.commit(rows.sparkSession, path, lambda p: rows.write.parquet(p))["path"]
 
 
 def read_feature_group(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
-    return spark.read.parquet(group_path(root, name, version))
+    return spark.read.parquet(_newest(spark, group_path(root, name, version))["path"])
+
+
+def _newest(spark: SparkSession, root: str) -> dict:
+    found = versions.latest(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"nothing was committed under {root}")
+    return found
 
 
 def widen_integers(df: DataFrame) -> DataFrame:
@@ -115,15 +122,13 @@ def backfill(df: DataFrame, source: DataFrame, key: str, column: str) -> DataFra
 
 
 def write_metadata(spark: SparkSession, root: str, labels: DataFrame, settings: Mapping) -> None:
-    """The label table and one line of settings (feature lists, names, versions)."""
-    labels.write.mode("overwrite").parquet(f"{root}/labels")
-    line = spark.createDataFrame([(json.dumps(settings, sort_keys=True),)], "value string")
-    line.coalesce(1).write.mode("overwrite").text(f"{root}/settings")
+    """The label table and the settings (feature lists, names, versions), together as one version."""
+    versions.commit(spark, root, lambda p: labels.write.parquet(p), {"settings": dict(settings)})
 
 
 def read_metadata(spark: SparkSession, root: str) -> tuple[DataFrame, dict]:
-    settings = json.loads(spark.read.text(f"{root}/settings").first()[0])
-    return spark.read.parquet(f"{root}/labels"), settings
+    found = _newest(spark, root)
+    return spark.read.parquet(found["path"]), found["settings"]
 
 
 def write_scored(df: DataFrame, path: str, batch_id: int | None = None, form: str = "parquet") -> None:
@@ -138,27 +143,31 @@ def write_scored(df: DataFrame, path: str, batch_id: int | None = None, form: st
 REGISTRY_SCHEMA = "name string, version int, metric string, value double, path string"
 
 
-def save_model(model: Model, metrics: Mapping[str, float], root: str, name: str, spark: SparkSession) -> int:
-    """Save a fitted model under the next version and enter its metrics in the registry."""
-    known = read_registry(spark, root).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (known or 0) + 1
-    path = f"{root}/models/{name}/{version}"
-    model.write().overwrite().save(path)
-    rows = [(name, version, metric, float(value), path) for metric, value in metrics.items()]
-    spark.createDataFrame(rows, REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/registry")
-    return version
+def save_model(model, metrics: Mapping[str, float], root: str, name: str, spark: SparkSession) -> int:
+    """Save a fitted model under the next version, with its metrics; both appear at once.
+
+    `model` is an ML model or a `training.Bundle`, which brings its encoders, vocabularies and class labels with it.
+    """
+    write = getattr(model, "write_parts", None) or model.save
+    info = {"name": name, "kind": type(model).__name__, "metrics": {k: float(v) for k, v in metrics.items()}}
+    return versions.commit(spark, f"{root}/models/{name}", write, info)["version"]
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
-    """(name, version, metric, value, path), empty where nothing was saved yet."""
-    entries = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/registry")
-    system = entries.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(entries):
+    """(name, version, metric, value, path) of all saved models, empty where nothing was saved yet."""
+    form = "name string, version int, path string, metrics map<string,double>"
+    try:
+        lines = spark.read.text(f"{root}/models/*/versions/*/part-*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/registry")
+    found = lines.select(F.from_json("value", form).alias("m"))
+    return found.select("m.name", "m.version", F.explode("m.metrics").alias("metric", "value"), "m.path")
 
 
 def best_model(registry: DataFrame, metric: str, direction: str = "max") -> DataFrame:
     """The registry row with the best value of `metric`; ties go by name, then to the newest version."""
     value = F.desc("value") if direction == "max" else F.asc("value")
-    return registry.where(F.col("metric") == metric).orderBy(value, "name", F.desc("version")).limit(1)
+    found = registry.where(F.col("metric") == metric).orderBy(value, "name", F.desc("version")).limit(1)
+    return found.select("name", "version", "metric", "value", "path")
