@@ -89,7 +89,9 @@ def _with_ratio_sums(df: DataFrame, counts: DataFrame, buckets: int) -> DataFram
     table = F.split(F.lit(",".join(map(str, log_ratios(counts, buckets)))), ",").cast("array<bigint>")
     df = df.withColumns({"n": F.size("grams").cast("long"), "offset": fold_of(F.col("text")) * buckets})
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table, F.col("offset") + b))
-    return df.withColumn("sum", total)
+    # A column that is used once moves into the expression that uses it, here into one evaluated for every n-gram. A
+    # second use keeps the hash of the text outside.
+    return df.withColumn("sum", F.when(F.col("offset") >= 0, total))
 
 
 def assess(docs: DataFrame, counts: DataFrame, text: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
