@@ -1,3 +1,8 @@
+import math
+import random
+import re
+from collections import Counter
+
 from tidemark.llm import license_scan as s
 
 APACHE, MIT = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
@@ -28,9 +33,93 @@ def test_statements_of_the_corpus(spark):
 
 
 def test_every_template_matches_itself(spark):
-    files = [(f"d{k}/x.txt", f"Some words before.\n{wording}\nand after") for k, wording in enumerate(s.TEMPLATES.values())]
+    files = [(f"d{k}/x.txt", f"Some words before.\n\n{wording}\n\nand after") for k, (_, wording) in enumerate(s.TEMPLATES)]
     got = scan(spark, files)
-    assert [got[p][0] for p, _ in files] == list(s.TEMPLATES)
+    assert [got[p][0] for p, _ in files] == [name for name, _ in s.TEMPLATES]
+
+
+TERM = re.compile(r"[a-z0-9.-]+")
+
+
+def terms(text):
+    plain = re.sub(r"\bv(ersion)?\.? *([0-9])", r"version \2", text.lower(), flags=re.A)
+    plain = re.sub(r"\.([^0-9]|$)", r" \1", re.sub(r"[^a-z0-9.-]+", " ", plain))
+    return [t for t in plain.split(" ") if re.search("[a-z0-9]", t)]
+
+
+def brute(rows):
+    """Best match of each text, comparing every unit with every template."""
+    texts = [t or "" for t in rows]
+    own = [(name, Counter(terms(w))) for name, w in s.TEMPLATES]
+    vocabulary = {t for _, c in own for t in c}
+    df = Counter(t for text in texts for t in set(terms(text)) & vocabulary)
+    idf = lambda t: math.log((1 + len(texts)) / (1 + df[t])) + 1 if t in vocabulary else math.log(1 + len(texts)) + 1
+
+    def vector(counts):
+        v = {t: (1 + math.log(n)) * idf(t) for t, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    known = [(name, vector(c)) for name, c in own]
+    out = []
+    for text in texts:
+        lines = re.sub(r"([.!?;])[ \t]+([A-Z(])", r"\1\n\2", text).split("\n")
+        units = [(0, 0, text), *((1, i, p) for i, p in enumerate(re.split(r"\n[ \t\r]*\n", text))), *((2, i, x) for i, x in enumerate(lines))]
+        found = []
+        for kind, at, unit in units:
+            v = vector(Counter(terms(unit)))
+            for name, w in known:
+                cosine = round(sum(x * w[t] for t, x in v.items() if t in w), 6)
+                if cosine >= s.LEAST:
+                    found.append((name == "Proprietary", kind, -cosine, at, name))
+        best = min(found, default=None)
+        out.append(best and (best[4], s.KINDS[best[1]], -best[2]))
+    return out
+
+
+LONG = "\n".join(f"word{k} and more of it" for k in range(400))
+
+
+def licence(name, start):
+    return next(w for n, w in s.TEMPLATES if n == name and w.startswith(start))
+
+
+def test_whole_texts_and_headers(spark):
+    bsd, isc, mit = licence("BSD-3-Clause", "Redis"), licence("ISC", "Permission to use"), licence("MIT", "MIT License")
+    unlicense, zlib, apache = licence("Unlicense", "This is free and unencumbered software released into the public domain. Anyone"), licence("Zlib", "This"), licence("Apache-2.0", "Licensed under the Apache License, Version 2.0 (")
+    head = "Copyright (c) 2021, Some Person\nAll rights reserved.\n\n"
+    comment = "\n".join("# " + apache[k : k + 76] for k in range(0, len(apache), 76))
+    broken = re.sub("(.{60,70}) ", r"\1\n", bsd)
+    rows = [
+        ("a/LICENSE", head + broken), ("a/code.py", "import os\n" * 40), ("b/any.txt", unlicense), ("b/code.c", "int main() {}"), ("c/x.c", f"/* {zlib} */"),
+        ("d/x.py", comment + "\n\n" + LONG), ("d/y.py", LONG), ("e/NOTICE", isc + "\n\n" + LONG), ("e/f/y.py", LONG), ("g/only.txt", "All rights reserved.\n" + LONG),
+        ("h/two.txt", "All rights reserved.\n" + LONG + "\nReleased under the MIT License."), ("i/LICENSE.txt", mit.replace("(c)", "(c) 2020 A. Person") ), (None, None), ("k/e", ""),
+    ]
+    got = scan(spark, rows)
+    assert got["a/LICENSE"] == ("BSD-3-Clause", "file") and got["a/code.py"] == ("BSD-3-Clause", "inherited")
+    assert got["b/any.txt"] == ("Unlicense", "file") and got["b/code.c"] == ("Unlicense", "inherited") and got["c/x.c"] == ("Zlib", "file")
+    assert got["d/x.py"] == ("Apache-2.0", "header") and got["d/y.py"] == (None, None)
+    assert got["e/NOTICE"] == ("ISC", "file") and got["e/f/y.py"] == ("ISC", "inherited")
+    assert got["g/only.txt"] == ("Proprietary", "statement") and got["h/two.txt"] == ("MIT", "statement")
+    assert got["i/LICENSE.txt"] == ("MIT", "file") and got[None] == got["k/e"] == (None, None)
+
+
+def test_same_as_brute_force(spark, odd):
+    """All units against all templates: no candidate is lost by the join on rare terms."""
+    draw = random.Random(7)
+    wordings = [w for _, w in s.TEMPLATES]
+    texts = [r.text for r in odd.collect()] + ["All rights reserved.", "BSD", LONG]
+    for _ in range(150):
+        words = draw.choice(wordings).split(" ")
+        cut = words[draw.randrange(len(words)) :][: draw.randrange(1, 80)]
+        mixed = [w if draw.random() > 0.15 else draw.choice(["foo", "bar", "baz"]) for w in cut]
+        texts.append(draw.choice(["", "Plain words here.\n", "More of it. "]) + " ".join(mixed) + draw.choice(["", "\n\nand the rest", ". Then More"]))
+    files = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, text string").selectExpr("k", "cast(null as string) as path", "text")
+    got = {r.k: r.license and (r.license, r.origin, r.cosine) for r in s.scan(files).collect()}
+    want = brute(texts)
+    assert sum(w is not None for w in want) > 40
+    bad = [(k, got[k], w) for k, w in enumerate(want) if (got[k] is None) != (w is None) or w and (got[k][:2] != w[:2] or abs(got[k][2] - w[2]) > 2e-6)]
+    assert bad == []
 
 
 def test_nearest_directory_wins(spark):
@@ -50,8 +139,9 @@ def test_nearest_directory_wins(spark):
 
 
 def test_odd_rows(spark, odd, nothing):
-    files = odd.selectExpr("*", "concat('d/', doc_id) as path", "'clash' as license")
+    files = odd.selectExpr("*", "concat('d/', doc_id) as path", "'clash' as license", "'u' as units", "7 as row", "'f' as folder")
     found = s.scan(files)
     assert found.count() == odd.count() and found.where("license is not null").count() == 0
+    assert {(r._row, r.units, r.row, r.folder) for r in found.collect()} == {("row", "u", 7, "f")}
     assert found.columns.count("license") == 1
     assert s.scan(nothing.selectExpr("'p' as path", "text")).count() == 0

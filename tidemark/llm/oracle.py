@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontaminate import CONTAINED
+from tidemark.llm.license_scan import FILE_NAME, LEAST, TEMPLATES
 from tidemark.llm.quality_rules import BUCKETS, FOLDS, MAX_REPEATED, MIN_WORDS, PAIR_STEP, PSEUDO, SCALE, THRESHOLD, WORD_STEP
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -158,10 +159,52 @@ TOPK_SEARCH = f"""with v as (select row_number() over () as rid, vec_id, {_INTEG
   select query_id, row_number() over (partition by rid order by score desc, vec_id nulls last, other) as rank, vec_id, score
   from scored qualify rank <= 5"""
 
+
+def _terms(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), '\\bv(ersion)?\\.? *([0-9])', 'version \\2', 'g')"
+    plain = f"regexp_replace(regexp_replace({plain}, '[^a-z0-9.-]+', ' ', 'g'), '\\.([^0-9]|$)', ' \\1', 'g')"
+    return f"list_filter(string_split({plain}, ' '), lambda x: regexp_matches(x, '[a-z0-9]'))"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_PIECE = "unnest({parts}) as unit, unnest(range(len({parts}))) as pos"
+_LINES = r"string_split(regexp_replace(t, '([.!?;])[\x20\x09]+([A-Z(])', '\1' || chr(10) || '\2', 'g'), chr(10))"
+_PARAGRAPHS = r"string_split_regex(t, '\n[\x20\x09\x0D]*\n')"
+LICENSE_SCAN = f"""with tpl as (select * from (values {', '.join(f'({i}, {_text(name)}, {_text(text)})' for i, (name, text) in enumerate(TEMPLATES))}) v(template, license, wording)),
+  doc as (select row_number() over () as rid, doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') as folder,
+    cast(doc_id as varchar) || '.txt' as name, coalesce(text, '') as t from documents),
+  tt as (select template, license, term, count(*) as tf from (select template, license, unnest({_terms('wording')}) as term from tpl) group by all),
+  held as (select distinct rid, term from (select rid, unnest({_terms('t')}) as term from doc) semi join tt using (term)),
+  weight as (select term, ln((1.0::double + (select count(*) from doc)) / (1 + count(rid))) + 1 as idf
+    from (select distinct term from tt) left join held using (term) group by term),
+  tw as (select template, license, term, (1 + ln(tf)) * idf / sqrt(sum(pow((1 + ln(tf)) * idf, 2)) over (partition by template)) as w from tt join weight using (term)),
+  piece as (select rid, 0 as kind, 0 as pos, t as unit from doc
+    union all select rid, 1, pos, unit from (select rid, {_PIECE.format(parts=_PARAGRAPHS)} from doc)
+    union all select rid, 2, pos, unit from (select rid, {_PIECE.format(parts=_LINES)} from doc)),
+  named as (select rid, kind, pos, trim(unit) as unit from piece),
+  ut as (select unit, term, count(*) as tf from (select unit, unnest({_terms('unit')}) as term from (select distinct unit from named)) group by all),
+  ua as (select unit, term, idf is not null as known, (1 + ln(tf)) * coalesce(idf, ln(1.0::double + (select count(*) from doc)) + 1) as a from ut left join weight using (term)),
+  norm as (select unit, sqrt(sum(a * a)) as norm from ua group by unit),
+  cosine as (select unit, license, round(sum(a * w) / any_value(norm), 6) as c from ua join tw using (term) join norm using (unit) where known group by unit, template, license),
+  matched as (select unit, license, c from cosine where c >= {LEAST} qualify row_number() over (partition by unit order by c desc, license) = 1),
+  best as (select rid, kind, license, c from named join matched using (unit)
+    qualify row_number() over (partition by rid order by license = 'Proprietary', kind, c desc, pos, license) = 1),
+  placed as (select doc.*, license, c, kind, kind is not null and (kind = 0 or regexp_matches(name, '{FILE_NAME}')) as is_file from doc left join best using (rid)),
+  up as (select folder as up, arg_min(license, (-c, name, license)) as license, max(c) as c from placed where is_file group by folder),
+  near as (select folder, arg_max(up.license, length(up)) as near_license, arg_max(up.c, length(up)) as near_c
+    from (select distinct folder from doc) f join up on f.folder = up or starts_with(f.folder, up || '/') group by folder)
+  select doc_id, folder || '/' || name as path, coalesce(license, near_license) as license, coalesce(c, near_c) as cosine,
+  case when is_file then 'file' when kind = 1 then 'header' when kind = 2 then 'statement' when near_c is not null then 'inherited' end as origin
+  from placed left join near using (folder)"""
+
 SQL = {
     "op1_decontaminate": DECONTAMINATE,
     "op3_quality_rules": QUALITY_RULES,
     "op5_warc": WARC,
+    "op8_license_scan": LICENSE_SCAN,
     "op10_secret_scan": SECRET_SCAN,
     "op11_importance": IMPORTANCE,
     "op12_topk_search": TOPK_SEARCH,
