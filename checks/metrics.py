@@ -108,15 +108,7 @@ def fold_score_summary(spark: SparkSession, sf: str) -> DataFrame:
   (select count(*) from pr where predicted = 'ERROR') as errors, (select count(*) from names) as classes,
   round(avg(f), 6) as macro_f1 from s""")
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = predictions(spark, sf)
-    sizes = rows.agg(
-        F.count("*").alias("rows"), F.count("actual").alias("labelled"),
-        F.count(F.when(F.col("predicted") == "ERROR", 1)).alias("errors"),
-    )
-    counts = ev.ovr_counts(pairs(spark, sf))
-    marks = counts.agg(F.count("*").alias("classes")).first()["classes"]
-    score = ev.macro_prf(counts).first()["macro_f1"]
-    return rounded(sizes.withColumns({"classes": F.lit(marks).cast("long"), "macro_f1": F.lit(score)}))
+    return rounded(ev.run_summary(predictions(spark, sf), "actual", "predicted"))
 
 
 @query("W11", f"""with pr as ({PREDICTIONS_SQL}), nth as (select *, row_number() over (order by ts, row_id) - 1 as i from pr),

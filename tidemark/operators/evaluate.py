@@ -187,6 +187,21 @@ def evaluate(predictions: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
+def run_summary(predictions: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """One row about a scoring run: rows, labelled rows, rows that could not be scored, classes seen, and macro F1."""
+    counts = ovr_counts(confusion(predictions, actual, predicted))
+    return predictions.agg(
+        F.count("*").alias("rows"),
+        F.count(actual).alias("labelled"),
+        F.count_if(F.col(predicted) == ERROR_LABEL).alias("errors"),
+    ).withColumns(
+        {
+            "classes": counts.agg(F.count("*")).scalar(),
+            "macro_f1": macro_prf(counts).select("macro_f1").scalar(),
+        }
+    )
+
+
 def record(
     spark: SparkSession, predictions: DataFrame, actual: str, predicted: str, model: str, tier: str, approach: str,
     cv_scores: Sequence[float] = (),

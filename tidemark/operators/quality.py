@@ -6,7 +6,7 @@ import datetime as dt
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.parse import lenient_timestamp
 from tidemark.operators.skew import lookup
@@ -52,7 +52,7 @@ def drop_unparsed(df: DataFrame, ts: str) -> DataFrame:
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """(label, rows, percent) by class."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy())  # over the classes, not the rows
+    total = df.agg(F.count("*")).scalar()
     return counts.withColumn("percent", F.col("rows") * 100.0 / total)
 
 

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.skew import GROUP_ROWS, group_rank
 
@@ -70,7 +70,14 @@ def sample_to_target(df: DataFrame, key: str, total: int, target: int, seed: int
 def stratified_sample(
     df: DataFrame, by: str, n: int, key: str, seed: int = 42, order: Sequence[str] = (), max_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """Exactly min(n, size) rows of each stratum: the first by `order`, or a hash draw where none is given."""
+    """Exactly min(n, size) rows of each stratum: the first by `order`, or a hash draw where none is given.
+
+    The limit on the rank is applied before the shuffle too, so a task sends at most `n` rows of a stratum. Where more
+    than `max_rows` are asked for, strata are ranked in ordered cells instead.
+    """
     ranked = df if order else df.withColumn("_draw", hash_draw(key, seed=seed))
     by_order = list(order) or ["_draw", key]
+    if n <= max_rows:
+        nth = F.row_number().over(Window.partitionBy(by).orderBy(*by_order))
+        return ranked.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth", "_draw")
     return group_rank(ranked, [by], by_order, "_nth", max_rows).where(F.col("_nth") < n).drop("_nth", "_draw")
