@@ -78,6 +78,58 @@ def test_groups_of_near_copies(spark):
     assert result(n.classes(df)) == brute(df.collect())
 
 
+def test_divided_buckets_in_blocks(spark, monkeypatch):
+    """Buckets that stay divided are compared in blocks smaller than they are, among texts of very unequal length."""
+    monkeypatch.setattr(n, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(n, "ROWS", 2)  # bands that many unlike texts share
+    monkeypatch.setattr(n, "BANDS", n.SLOTS // 2)
+    draw = random.Random(12)
+    shared = [f"s{draw.randrange(10**6)}" for _ in range(70)]
+    rows = []
+    for k in range(90):
+        own = [f"o{draw.randrange(10**6)}" for _ in range(draw.choice((8, 12, 16, 30)))]
+        words = list(shared)
+        for _ in range(draw.randrange(3)):
+            words[draw.randrange(len(words))] = f"c{draw.randrange(10**6)}"
+        rows.append((k, " ".join(words + own)))
+    rows.append((90, " ".join(f"w{i % 5000}" for i in range(20_000)) + " " + rows[0][1]))
+    rows += [(91 + k, rows[k][1] + " tail") for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(n.classes(df)) == brute(df.collect())
+
+
+def test_links_inside_are_those_of_all_pairs():
+    import pyarrow as pa
+
+    draw = random.Random(2)
+    sets = []
+    for _ in range(60):
+        base = sets[draw.randrange(len(sets))] if sets and draw.random() < 0.7 else {draw.randrange(10**6) for _ in range(30)}
+        sets.append({x if draw.random() > 0.05 else draw.randrange(10**6) for x in base})
+    roots = [draw.randrange(60) for _ in sets]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    for blocks in (1, 2):
+        mine = [i % blocks for i in range(60)]
+        rows = pa.table({"x": [0] * 60, "y": [blocks - 1] * 60, "mine": mine, "root": roots, "windows": pa.array([sorted(s) for s in sets], pa.list_(pa.int64()))})
+        got = n._links_inside(rows).to_pylist()
+
+        def joined(links):
+            up = list(range(60))
+
+            def find(i):
+                while up[i] != i:
+                    i = up[i]
+                return i
+
+            for a, b in links:
+                up[find(a)] = find(b)
+            return [[find(a) == find(b) for a in set(roots)] for b in set(roots)]
+
+        pairs = [(roots[i], roots[j]) for i in range(60) for j in range(i) if alike(sets[i], sets[j]) and (blocks == 1 or mine[i] != mine[j])]
+        assert joined([(g["a"], g["b"]) for g in got]) == joined(pairs)
+        assert len(got) < len(set(roots))  # one link for two classes
+
+
 def test_signature_is_weighted_jaccard():
     draw = np.random.default_rng(3)
     values = draw.integers(1, 2**62, 60).astype(np.uint64)

@@ -71,3 +71,27 @@ def test_normalise_file_keeps_bytes():
         out = io.BytesIO()
         entries = list(w.normalise_file(io.BytesIO(source), out))
         assert [gzip.decompress(out.getvalue()[e["offset"] :][: e["length"]]) for e in entries] == body
+
+
+def test_foreign_records():
+    """Records of other writers: no page number, no digest, another kind of digest, other types."""
+    def member(kind, block, **fields):
+        head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:x:1>", **{k.replace("_", "-"): v for k, v in fields.items()}, "Content-Length": str(len(block))}
+        return "WARC/1.0\r\n".encode() + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nbody"
+    for fields in ({}, {"WARC_Payload_Digest": "md5:abc"}, {"WARC_Payload_Digest": "sha1:" + w.payload_digest(b"body").lower()}):
+        row = w._parsed(member("response", http, Content_Type="application/http; msgtype=response", **fields))
+        assert row["payload"] == b"body" and row["payload_digest"] == w.payload_digest(b"body") and row["page_id"] is None
+    assert w._parsed(member("response", b"plain", Content_Type="text/dns"))["payload"] == b"plain"
+    assert w._parsed(member("revisit", b""))["payload_bytes"] is None
+    assert [w._parsed(member(kind, b"x: y")) for kind in ("warcinfo", "request", "metadata")] == [None] * 3
+
+
+def test_records_are_the_same_when_written_again():
+    page = {"page_id": 7, "url": "http://a/b c", "html": "<p>é</p>", "record_type": "response", "refers_to": None}
+    again = dict(page, page_id=9, record_type="revisit", refers_to=7)
+    assert w.record(page) == w.record(dict(page)) and w.record(page) != w.record(dict(page, page_id=8))
+    named = [line for line in w.record(again).decode().split("\r\n") if line.startswith("WARC-Refers-To:")]
+    assert named == ["WARC-Refers-To: " + w.record_id(7, None, w.payload_digest("<p>é</p>".encode()))]
+    assert named[0].split(": ")[1] in w.record(page).decode()

@@ -42,6 +42,13 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """Name-based id: a record that is written again keeps it, and a revisit can name that of its response. Repeated rows
+    share one; pages without an id go by their address."""
+    name = f"page:{page_id}" if page_id is not None else f"url:{url}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}:{digest}')}>"
+
+
 def record(page: dict) -> bytes:
     """One WARC record. A revisit has headers only; its payload is that of the page it refers to."""
     payload = (page["html"] or "").encode()
@@ -50,13 +57,15 @@ def record(page: dict) -> bytes:
     http += f"Content-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
     known = page["page_id"] is not None
+    digest = payload_digest(payload)
     head = {
         "WARC-Type": page["record_type"],
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>",
+        "WARC-Record-ID": record_id(page["page_id"], page["url"], digest),
         "WARC-Date": DATE,
         "WARC-Target-URI": None if page["url"] is None else quote(page["url"], safe="%/:=&?~#+!$,;'@()*[]"),
-        "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
+        "WARC-Payload-Digest": f"sha1:{digest}",
         "WARC-Profile": REVISIT if revisit else None,
+        "WARC-Refers-To": record_id(page["refers_to"], None, digest) if revisit else None,
         "WARC-Refers-To-Page": str(page["refers_to"]) if revisit else None,
         "WARC-Page": str(page["page_id"]) if known else None,
         "WARC-Payload-Length": str(len(payload)),
@@ -169,29 +178,45 @@ def normalise(archives: DataFrame) -> DataFrame:
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def _parsed(member: bytes) -> dict:
+def _parsed(member: bytes) -> dict | None:
+    """A response or revisit as a row; None for records of other types (warcinfo, request, metadata, ...).
+
+    Fields that a foreign record lacks are null. Its digest is checked where it is a SHA-1 and else made from the payload.
+    """
     reader = io.BytesIO(member)
     fields = _head(reader)[1]
+    kind = fields.get("warc-type")
+    if kind not in ("response", "revisit"):
+        return None
     block = reader.read(int(fields["content-length"]))
-    payload = block.partition(b"\r\n\r\n")[2]
-    number = lambda key: int(fields[key]) if key in fields else None
-    revisit = fields["warc-type"] == "revisit"
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    if not revisit and payload_digest(payload) != digest:
-        raise ValueError(f"payload of {fields.get('warc-record-id')} does not have its digest")
+    http = "http" in fields.get("content-type", "application/http")
+    payload = block.partition(b"\r\n\r\n")[2] if http else block
+    number = lambda key: int(fields[key]) if fields.get(key, "").isdigit() else None
+    revisit = kind == "revisit"
+    given = fields.get("warc-payload-digest", "")
+    digest = given.removeprefix("sha1:").upper() if given.startswith("sha1:") else None
+    if not revisit:
+        own = payload_digest(payload)
+        if digest not in (None, own):
+            raise ValueError(f"payload of {fields.get('warc-record-id')} does not have its digest")
+        digest = own
     return {
         "page_id": number("warc-page"),
         "url": fields.get("warc-target-uri"),
         "payload_bytes": number("warc-payload-length") if revisit else len(payload),
         "payload_digest": digest,
-        "record_type": fields["warc-type"],
+        "record_type": kind,
         "refers_to": number("warc-refers-to-page"),
         "payload": None if revisit else payload,
     }
 
 
 def read_archives(members: DataFrame, payloads: bool = True) -> DataFrame:
-    """Records of normalised archives (file, index), each read by its offset. `payloads=False` leaves payload null."""
+    """Responses and revisits of normalised archives (file, index), each read by its offset.
+
+    `payloads=False` leaves payload null. Records of other types are passed over. One record at a time is held, so the
+    largest payload, not the archive, bounds the memory.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,6 +227,8 @@ def read_archives(members: DataFrame, payloads: bool = True) -> DataFrame:
                     for line in io.BufferedReader(side, BLOCK):
                         entry = json.loads(line)
                         row = _parsed(gzip.decompress(source.read_at(entry["length"], entry["offset"])))
+                        if row is None:
+                            continue
                         if not payloads:
                             row["payload"] = None
                         rows.append(row)
@@ -241,7 +268,11 @@ def with_record_types(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, payloads: bool = True) -> DataFrame:
-    """Write `pages` as archives in the shared folder, normalise them and read every record back."""
+    """Write `pages` as archives in the shared folder, normalise them and read every record back.
+
+    One row per row of `pages`, repeated rows and null ids too; an empty table gives none, null html an empty payload and a
+    null url none. Other columns are not looked at.
+    """
     folder = scratch_path(pages.sparkSession, "warc")
     archives = write_archives(with_record_types(pages, least_bytes), folder)
     return read_archives(normalise(archives), payloads)
