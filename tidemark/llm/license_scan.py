@@ -42,11 +42,11 @@ STATEMENTS = {
     "ISC": ["Released under the ISC License"],
     "EPL-2.0": ["This program is made available under the terms of the Eclipse Public License 2.0"],
     "Unlicense": ["This is free and unencumbered software released into the public domain under the Unlicense"],
-    "CC0-1.0": ["Dedicated to the public domain under Creative Commons CC0 1.0 Universal"],
-    "CC-BY-4.0": ["Licensed under Creative Commons Attribution CC BY 4.0"],
-    "CC-BY-SA-4.0": ["Licensed under Creative Commons Attribution-ShareAlike CC BY-SA 4.0"],
-    "CC-BY-NC-4.0": ["Licensed under Creative Commons Attribution-NonCommercial CC BY-NC 4.0"],
-    "CC-BY-ND-4.0": ["Licensed under Creative Commons Attribution-NoDerivatives CC BY-ND 4.0"],
+    "CC0-1.0": ["Dedicated to the public domain under Creative Commons CC0 1.0 Universal", "Released under CC0 1.0"],
+    "CC-BY-4.0": ["Licensed under Creative Commons Attribution CC BY 4.0", "Licensed under CC BY 4.0"],
+    "CC-BY-SA-4.0": ["Licensed under Creative Commons Attribution-ShareAlike CC BY-SA 4.0", "Licensed under CC BY-SA 4.0"],
+    "CC-BY-NC-4.0": ["Licensed under Creative Commons Attribution-NonCommercial CC BY-NC 4.0", "Licensed under CC BY-NC 4.0"],
+    "CC-BY-ND-4.0": ["Licensed under Creative Commons Attribution-NoDerivatives CC BY-ND 4.0", "Licensed under CC BY-ND 4.0"],
 }
 RESERVED = "All rights reserved"  # by itself the weakest of all: it counts only where nothing else matches
 
@@ -214,17 +214,18 @@ def rare_terms(vectors: DataFrame, least: float = LEAST) -> list[str]:
 
 
 def match_units(units: DataFrame, vectors: DataFrame, idf: DataFrame, other: float, least: float = LEAST) -> DataFrame:
-    """(unit, license, cosine) for the distinct texts `units` (unit) that reach `least`; of equal cosines the first
-    identifier wins."""
-    counts = _counts(units, "unit", "unit").join(F.broadcast(idf), "term", "left")
-    weighted = counts.withColumn("a", (1 + F.log("tf")) * F.coalesce("idf", F.lit(other)))
-    weighted = stored(weighted.select("unit", "term", "a", F.col("idf").isNotNull().alias("known")), "unit-terms")
-    norms = weighted.groupBy("unit").agg(F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("norm"))
-    dots = weighted.where("known").join(F.broadcast(vectors.select("template", "license", "term", "w")), "term")
-    dots = dots.groupBy("unit", "template", "license").agg(F.sum(F.col("a") * F.col("w")).alias("dot"))
-    cosines = dots.join(norms, "unit").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
-    best = cosines.groupBy("unit").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b"))
-    return best.select("unit", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine")).where(F.col("cosine") >= least)
+    """(key, license, cosine) for those of the different texts `units` (key, unit) that reach `least`; of equal cosines the
+    first identifier wins. Terms travel with the key, not with the text; terms of no template only add to the norm."""
+    counts = _counts(units, "key", "unit").join(F.broadcast(idf), "term", "left")
+    a = (1 + F.log("tf")) * F.coalesce("idf", F.lit(other))
+    mine = F.when(F.col("idf").isNotNull(), F.struct("term", a.alias("a")))
+    rows = counts.groupBy("key").agg(F.sqrt(F.sum(a * a)).alias("norm"), F.collect_list(mine).alias("known"))
+    rows = rows.select("key", "norm", F.explode_outer("known").alias("t")).where("t is not null").select("key", "norm", "t.term", "t.a")
+    dots = rows.join(F.broadcast(vectors.select("template", "license", "term", "w")), "term")
+    dots = dots.groupBy("key", "template", "license").agg(F.sum(F.col("a") * F.col("w")).alias("dot"), F.first("norm").alias("norm"))
+    cosines = dots.withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
+    best = cosines.groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b"))
+    return best.select("key", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine")).where(F.col("cosine") >= least)
 
 
 def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -247,9 +248,12 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Data
     units = F.when(F.arrays_overlap(terms_of(F.col("text")), rare), F.filter(_units(F.col("text")), lambda u: F.arrays_overlap(terms_of(u["text"]), rare)))
     rows = stored(rows.select("own", "path", "row", units.alias("units")), "license-units")
 
-    pieces = rows.select("row", F.explode_outer("units").alias("u")).where("u is not null").select("row", "u.kind", "u.at", F.col("u.text").alias("unit"))
-    matched = match_units(pieces.select("unit").distinct(), vectors, idf, other)
-    matched = lookup(pieces, matched, "unit", "inner", spread_by=("row", "kind", "at")).drop("unit")
+    pieces = rows.select("row", F.explode_outer("units").alias("u")).where("u is not null").select(
+        "row", "u.kind", "u.at", F.sha2("u.text", 256).alias("key"), F.col("u.text").alias("unit")
+    )
+    units = stored(pieces.select("key", "unit").dropDuplicates(["key"]), "license-texts")
+    matched = match_units(units, vectors, idf, other)
+    matched = lookup(pieces.drop("unit"), matched, "key", "inner", spread_by=("row", "kind", "at"))
     last = (F.col("license") == "Proprietary").cast("int")
     best = F.min(F.struct(last.alias("last"), "kind", (-F.col("cosine")).alias("c"), "at", "license")).alias("b")
     each = stored(matched.groupBy("row").agg(best), "license-matches")
