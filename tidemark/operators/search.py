@@ -130,7 +130,8 @@ class TrialLog:
         self.done[number, candidate, fold] = score
         if self.root is not None:
             row = self.spark.createDataFrame([(self.name, number, candidate, fold, score)], LOG_SCHEMA)
-            row.coalesce(1).write.mode("append").parquet(f"{self.root}/{self.name}")
+            # Folds are written side by side, so each has a folder of its own.
+            row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{self.name}/{number}-{candidate}-{fold}")
 
 
 def halving_search(
