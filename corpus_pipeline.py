@@ -60,7 +60,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row gives one row, repeated rows too; null and empty texts have no pieces.
     """
     tune(importable(spark))
-    return sentence_pieces.with_pieces(docs).select("doc_id", "lang", "source", "n_pieces", "piece_ids")
+    # Workers are those of the stages before and still hold some memory, so batches are small.
+    return sentence_pieces.with_pieces(docs, batch_bytes=1 << 20).select("doc_id", "lang", "source", "n_pieces", "piece_ids")
 
 
 STAGES = [
