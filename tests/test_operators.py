@@ -253,7 +253,14 @@ def test_metrics_leave_out_unknown_rows(spark):
 def test_metrics_of_nothing(spark):
     empty = spark.createDataFrame([], "x string, y string")
     assert tuple(ev.macro_prf(ev.ovr_counts(ev.confusion(empty, "x", "y"))).first()) == (0.0, 0.0, 0.0)
-    assert tuple(ev.evaluate(empty, "x", "y").first()) == (0.0, 0.0)
+    assert tuple(ev.evaluate(empty, "x", "y").first()) == (0.0, 0.0) and ev.macro_f1(empty, "x", "y") == 0.0
+
+
+def test_macro_f1_as_a_number(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), rng.choice(["a", "b", "d", "ERROR", None])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert ev.macro_f1(df, "x", "y") == pytest.approx(ev.evaluate(df, "x", "y").first()["macro_f1"])
 
 
 @pytest.mark.parametrize("max_rows", [10_000, 7])

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.evaluate import evaluate
+from tidemark.operators.evaluate import macro_f1
 from tidemark.operators.sampling import hash_draw
 from tidemark.operators.skew import group_rank
 
@@ -62,7 +62,7 @@ def spark_params(params: Mapping) -> tuple[dict, list[str]]:
 def fold_score(df: DataFrame, make: Maker, params: Mapping, fold: str, actual: str, i: int) -> float:
     """Macro F1 on fold `i` of a model fitted on the others."""
     model = make(df.where(F.col(fold) != i), params)
-    return evaluate(model(df.where(F.col(fold) == i)), actual, "predicted").first()["macro_f1"]
+    return macro_f1(model(df.where(F.col(fold) == i)), actual, "predicted")
 
 
 def cross_validate(
