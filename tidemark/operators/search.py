@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.evaluate import macro_f1
 from tidemark.operators.sampling import hash_draw
 from tidemark.operators.skew import group_rank
+from tidemark.session import checkpointed
+
+ROWS_PER_TASK = 50_000  # of a sample that is fitted on
 
 # A candidate's maker: (train rows, parameters) -> function from rows to rows with a `predicted` column.
 Maker = Callable[[DataFrame, Mapping], Callable[[DataFrame], DataFrame]]
@@ -166,7 +169,9 @@ def halving_search(
         fraction = factor ** -(len(sizes) - 1 - number)
         queue = [(which, params, i) for which, params in alive for i in range(folds) if (number, which, i) not in book.done]
         if queue:
-            rows = class_sample(df, key, actual, fold, fraction, seed).persist()
+            # A sample is passed over some hundred times: small ones must not be spread over many tasks.
+            drawn = checkpointed(class_sample(df, key, actual, fold, fraction, seed))
+            rows = drawn.coalesce(-(-drawn.count() // ROWS_PER_TASK) or 1).persist()
 
             def score(entry, rows=rows, number=number):
                 which, params, i = entry
