@@ -60,3 +60,23 @@ def test_nothing_there(spark, tmp_path):
     assert seen == {}
     with pytest.raises(ValueError):
         rb.RowBatchReader(spark.createDataFrame([], SCHEMA).schema, {"path": "x", "rows": "0", "progress": "y"})
+
+
+def test_many_batches_at_once(spark, tmp_path):
+    """Batches of a chunk that share a micro-batch keep their rows and say which they are, also after a restart."""
+    write(spark, tmp_path / "in", "a.parquet", 0, 500, 3)
+    write(spark, tmp_path / "in", "b.parquet", 500, 4)
+    schema = spark.createDataFrame([], "k long, first long").schema
+    seen = []
+
+    def run_on(at_once):
+        stream = rb.read_row_batches(spark, str(tmp_path / "in"), schema, str(tmp_path / "progress"), 7, at_once, "first")
+        rb.drain(stream.writeStream.foreachBatch(lambda df, i: seen.append(df.collect())).option("checkpointLocation", str(tmp_path / "ckpt")).start())
+
+    run_on(30)
+    assert [len(x) for x in seen if x] == [210, 210, 80, 4]
+    assert sorted((r["k"], r["first"]) for x in seen for r in x) == [(k, k - k % 7) for k in range(500)] + [(k, 0) for k in range(500, 504)]
+    reader = rb.RowBatchReader(schema, {"path": str(tmp_path / "in"), "rows": "7", "batches": "30", "progress": str(tmp_path / "p")})
+    parts = reader.partitions({"chunk": "a.parquet", "row": 210}, {"chunk": "a.parquet", "row": 420})
+    assert 1 < len(parts) <= rb.PARTS and parts[0].first == 210
+    assert all(a.last == b.first for a, b in zip(parts, parts[1:])) and parts[-1].last == 420
