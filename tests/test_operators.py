@@ -229,6 +229,50 @@ def test_tfidf_by_hand(spark):
     assert len(vectors) == 6 and {r["k"]: r["v"].numNonzeros() for r in vectors} == {1: 2, 2: 2, 3: 0, 4: 0, 5: 0, 6: 2}
 
 
+def test_tfidf_of_repeated_and_missing_keys(spark, monkeypatch):
+    """Rows with one key (null is one too) count as one text; counts are exact however few buckets are counted first."""
+    from collections import Counter
+
+    rows = [(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 12))) for i in range(40)]
+    rows += [(3, "w1 w1 w2"), (3, None), (None, "w5 w6"), (None, "w5"), (77, "zz yy")]
+    texts = {}
+    for k, t in rows:
+        words = (t or "").split()
+        texts.setdefault(k, Counter()).update([w for w in words if len(w) > 1] + [f"{a} {b}" for a, b in zip(words, words[1:])])
+    total, in_texts = sum(texts.values(), Counter()), Counter(t for c in texts.values() for t in c)
+    often = sorted((t for t in total if in_texts[t] >= 2), key=lambda t: (-total[t], t))
+    df = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    monkeypatch.setattr(tfidf, "SPARE", 1)
+    for buckets, most in ((1 << 20, 9), (64, 9), (7, 3), (64, 1000)):
+        monkeypatch.setattr(tfidf, "BUCKETS", buckets)
+        vocabulary = tfidf.tfidf_fit(df, "k", "t", most)
+        assert [tuple(r) for r in vocabulary.select("term", "df").orderBy("idx").collect()] == [(t, in_texts[t]) for t in sorted(often[:most])]
+    idf = {r["term"]: r["idf"] for r in vocabulary.collect()}
+    want = {}
+    for k, counts in texts.items():
+        w = {t: (1 + math.log(n)) * idf[t] for t, n in counts.items() if t in idf}
+        want |= {(k, t): x / math.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
+    got = {(r["k"], r["term"]): r["weight"] for r in tfidf.tfidf_apply(df, vocabulary, "k", "t").collect()}
+    assert got == pytest.approx(want)
+    vectors = tfidf.tfidf_vectors(df, vocabulary, "k", "t", "v").select("k", "v").collect()
+    place = {r["idx"]: r["term"] for r in vocabulary.collect()}
+    assert len(vectors) == len(rows)
+    for r in vectors:
+        found = {place[int(i)]: x for i, x in zip(r["v"].indices, r["v"].values)}
+        assert found == pytest.approx({t: x for (k, t), x in want.items() if k == r["k"] and k is not None})
+    empty = vocabulary.where("false")
+    assert tfidf.tfidf_apply(df, empty, "k", "t").count() == 0
+    assert {r["v"].size for r in tfidf.tfidf_vectors(df, empty, "k", "t", "v").collect()} == {0}
+
+
+def test_tfidf_leaves_texts_where_they_are(spark):
+    df = spark.createDataFrame([(i, f"aa bb c{i}") for i in range(9)], "k long, t string").repartition(2)
+    df = df.localCheckpoint()
+    vocabulary = tfidf.tfidf_fit(df, "k", "t", 5)
+    for out in (tfidf.tfidf_apply(df, vocabulary, "k", "t"), tfidf.tfidf_vectors(df, vocabulary, "k", "t", "v")):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bigrams_and_trigrams(spark):
     df = spark.createDataFrame([("aa bb cc",), ("aa",), ("",)], "t string")
     got = [r[0] for r in df.select(tfidf.terms_of("t", (1, 3))).collect()]
