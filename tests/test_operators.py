@@ -273,6 +273,21 @@ def test_tfidf_leaves_texts_where_they_are(spark):
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_in_files_of_a_size(spark):
+    """No task gets more than a file, and every fourth row of the files is every fourth of all."""
+    ids = [None, None, *[i // 2 for i in range(100)]]
+    df = spark.createDataFrame([(i,) for i in random.Random(3).sample(ids, len(ids))], "k long").repartition(5)
+    dealt = sampling.in_files(df, "k", 8, max_rows=20)
+    parts = [[r for r in p] for p in dealt.rdd.glom().collect()]
+    files = {}
+    for part in parts:
+        for r in part:
+            files.setdefault(r["file"], []).append(r["k"])
+    assert [len(files[i]) for i in sorted(files)] == [8] * 12 + [6]
+    assert [k for i in sorted(files) for k in files[i]] == ids
+    assert all(len({id(p) for p in parts if any(r["file"] == i for r in p)}) == 1 for i in files)
+
+
 def test_bigrams_and_trigrams(spark):
     df = spark.createDataFrame([("aa bb cc",), ("aa",), ("",)], "t string")
     got = [r[0] for r in df.select(tfidf.terms_of("t", (1, 3))).collect()]

@@ -45,6 +45,18 @@ def with_file_position(df: DataFrame, name: str = "row_index", max_rows: int = G
     return group_rank(placed, ["_file"], ["_at"], name, max_rows).drop("_file", "_at")
 
 
+def in_files(df: DataFrame, order: str, rows: int, name: str = "file", max_rows: int = 1_000_000) -> DataFrame:
+    """`df` with `name`, the number of a file, ready to be written by it: rows in the order of a column (nulls first, equals
+    in any order), `rows` to each file and what is left to the last, each file by one task and in order.
+
+    With `rows` a multiple of k, every k-th row of each file is every k-th row of the whole.
+    """
+    placed = df.withColumns({"_all": F.lit(0), "_null": F.col(order).isNotNull(), "_id": F.monotonically_increasing_id()})
+    ranked = group_rank(placed, ["_all"], ["_null", order, "_id"], "_nth", max_rows)
+    dealt = ranked.withColumn(name, F.floor(F.col("_nth") / rows)).repartition(name).sortWithinPartitions(name, "_nth")
+    return dealt.select(*df.columns, name)
+
+
 def hash_draw(*cols: Column | str, seed: int = 42) -> Column:
     """A number in [0, 1) that depends on the row id and the seed alone, not on order, partitioning or engine."""
     text = F.concat_ws("|", *[(c if isinstance(c, Column) else F.col(c)).cast("string") for c in cols], F.lit(str(seed)))
