@@ -36,6 +36,7 @@ SIMILARITY = 0.8
 ROWS, BANDS = 6, 42  # a pair at 0.8 shares no band once in 300,000 cases
 SLOTS = ROWS * BANDS
 SLACK = 3.0
+PIECE_BYTES = 1 << 20  # of texts, about, that a task signs or cuts at once: it needs some 30 times that
 BLOCK_BYTES = 4 << 20  # of sets, about, that one task holds beside as many others
 
 
@@ -83,7 +84,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", limit=PIECE_BYTES):
         bag = multiset(*shingles(part.column("text")))
         keys = band_keys(signatures(*bag, part.num_rows))
         full = np.bincount(bag[0], minlength=part.num_rows) > 0
@@ -109,7 +110,7 @@ def numbered_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", limit=PIECE_BYTES):
         text, value = numbered_windows(part.column("text"))
         ends = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
         sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(value))
