@@ -1,8 +1,11 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import license_scan as s
 
 APACHE, MIT = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
@@ -47,6 +50,33 @@ def terms(text):
     return [t for t in plain.split(" ") if re.search("[a-z0-9]", t)]
 
 
+def test_terms_of_odd_texts(spark):
+    draw = random.Random(5)
+    parts = ["a", "b", ".", "..", "-", " ", "\n", "\t", "5", "v", "V.", "version", "é", "日", "😀", "_", "\x00"]
+    texts = ["", "v. 2", "a..b", "a...5", "x. .5 -- ... -", "V2.0 end.", "\u212a\u0130 v2", "1.2.3. 4"]
+    # A letter outside ASCII before a `v` is left out: engines disagree whether a word begins there.
+    texts += [re.sub("(?<=[é日])(?=[vV])", " ", "".join(draw.choices(parts, k=draw.randrange(1, 40)))) for _ in range(500)]
+    rows = spark.createDataFrame(enumerate(texts), "k long, text string").select("k", s.terms_of(F.col("text")).alias("t"))
+    assert {r.k: r.t for r in rows.collect()} == {k: terms(t) for k, t in enumerate(texts)}
+
+
+def test_terms_are_taken_without_replacing_all_between_them(spark):
+    """Cutting whole texts into terms was nearly all of the scan's time: it takes less than half of what replacing takes."""
+    prose = " ".join(f"some words, and ({k}) more" for k in range(1000))
+    rows = spark.range(0, 400, 1, 4).select(F.concat(F.lit(prose), F.col("id").cast("string")).alias("text"))
+
+    def seconds(column):
+        best = math.inf
+        for _ in range(3):
+            start = time.perf_counter()
+            rows.select(column).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    replaced = F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9.-]+", " "), " ")
+    assert seconds(F.size(s.terms_of(F.col("text")))) < seconds(F.size(replaced)) / 2
+
+
 def brute(rows):
     """Best match of each text, comparing every unit with every template."""
     texts = [t or "" for t in rows]

@@ -157,7 +157,9 @@ KINDS = ("file", "header", "statement")
 def terms_of(text: Column) -> Column:
     """Terms in lower case: runs of letters, digits and hyphens, with dots inside numbers; `v. 2` is `version 2`."""
     plain = F.regexp_replace(F.lower(text), r"\bv(ersion)?\.?\x20*([0-9])", "version $2")
-    plain = F.regexp_replace(F.regexp_replace(plain, r"[^a-z0-9.-]+", " "), r"\.([^0-9]|$)", " $1")
+    # Taking the runs is several times faster than replacing what lies between them.
+    plain = F.array_join(F.regexp_extract_all(plain, F.lit("[a-z0-9.-]+"), F.lit(0)), " ")
+    plain = F.regexp_replace(plain, r"\.([^0-9]|$)", " $1")
     return F.filter(F.split(plain, " "), lambda t: t.rlike("[a-z0-9]"))
 
 
