@@ -50,4 +50,4 @@ def test_odd_rows(spark, sf, odd, nothing):
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
-    assert "pipeline" in entry.queries() and sum(k.startswith("op") and k[2].isdigit() for k in entry.queries()) == 10
+    assert "pipeline" in entry.queries() and sum(k.startswith("op") and k[2].isdigit() for k in entry.queries()) == 13
