@@ -15,6 +15,9 @@ from tidemark.llm.workers import importable
 from tidemark.session import scratch_path, tune
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# All stages share their executors: the heap that one has filled stays full in the next, and Python workers live on. So
+# workers take little at a time and give back what they no longer need.
+PIECE_BYTES = 1 << 18
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +37,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts are one group. Texts under five words are alike only if equal.
     """
     tune(importable(spark))
-    return near_dup.keep_one(docs).select(*COLUMNS)
+    return near_dup.keep_one(docs, piece_bytes=PIECE_BYTES, lean=True).select(*COLUMNS)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +63,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row gives one row, repeated rows too; null and empty texts have no pieces.
     """
     tune(importable(spark))
-    # Workers are those of the stages before and still hold some memory, so batches are small.
-    return sentence_pieces.with_pieces(docs, batch_bytes=1 << 20).select("doc_id", "lang", "source", "n_pieces", "piece_ids")
+    pieced = sentence_pieces.with_pieces(docs, batch_bytes=PIECE_BYTES, lean=True)
+    return pieced.select("doc_id", "lang", "source", "n_pieces", "piece_ids")
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,19 @@ def _power(name: str, base: np.uint64, size: int) -> np.ndarray:
     return have[:size]
 
 
-def slices(batches: Iterator[pa.RecordBatch], *texts: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of one piece hold about `limit` bytes; a longer text is a piece of its own."""
+def release() -> None:
+    """Give freed memory back to the system; Arrow and the C library otherwise keep much of it while the worker lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], *texts: str, limit: int = CHUNK_BYTES, lean: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the texts of one piece hold about `limit` bytes; a longer text is a piece of its own.
+
+    `lean` gives memory freed since back to the system after each piece.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +62,8 @@ def slices(batches: Iterator[pa.RecordBatch], *texts: str, limit: int = CHUNK_BY
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(start, stop - start)
+            if lean:
+                release()
             start = stop
 
 

@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.arrays import STEP, U64, mix, multiset, ranges, shingles, slices
+from tidemark.llm.arrays import CHUNK_BYTES, STEP, U64, mix, multiset, ranges, release, shingles, slices
 from tidemark.llm.components import components
 from tidemark.llm.texts import digest, find_texts
 from tidemark.operators.skew import is_small, lookup
@@ -82,8 +83,8 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+def _sign(batches: Iterator[pa.RecordBatch], piece_bytes: int = CHUNK_BYTES, lean: bool = False) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches, "text", limit=piece_bytes, lean=lean):
         bag = multiset(*shingles(part.column("text")))
         keys = band_keys(signatures(*bag, part.num_rows))
         full = np.bincount(bag[0], minlength=part.num_rows) > 0
@@ -108,8 +109,8 @@ def numbered_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text[order], value[order]
 
 
-def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+def _collect(batches: Iterator[pa.RecordBatch], piece_bytes: int = CHUNK_BYTES, lean: bool = False) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches, "text", limit=piece_bytes, lean=lean):
         text, value = numbered_windows(part.column("text"))
         ends = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
         sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(value))
@@ -122,7 +123,7 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False), sizes
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], lean: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()) * 8
         ends = np.cumsum(sizes)
@@ -138,6 +139,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shared = np.bincount(pair[1:][twice], minlength=part.num_rows)
             similar = pa.array((shared > 0) & (shared >= SIMILARITY * (size_a + size_b - shared)))
             yield pa.RecordBatch.from_arrays([part.column("a").filter(similar), part.column("b").filter(similar)], ["a", "b"])
+            if lean:
+                release()
 
 
 def _links_inside(rows: pa.Table) -> pa.Table:
@@ -168,15 +171,15 @@ def _links_inside(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, lean: bool = False) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar enough."""
     left, right = (sets.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("windows").alias(f"windows_{c}")) for c in "ab")
     # Bags whose sizes are further apart are never alike.
     near = F.least("size_a", "size_b") >= SIMILARITY * F.greatest("size_a", "size_b")
-    return pairs.join(left, "a").join(right, "b").where(near).mapInArrow(_compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").where(near).mapInArrow(partial(_compare, lean=lean), "a long, b long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, piece_bytes: int = CHUNK_BYTES, lean: bool = False) -> DataFrame:
     """Class of every row of `docs` (doc_id, text): doc_id, class_id, class_rows, kept.
 
     Rows are in one class if a chain of pairs with weighted Jaccard similarity of 0.8 or more joins them, or if their
@@ -185,9 +188,14 @@ def classes(docs: DataFrame) -> DataFrame:
     texts that means all null and empty texts are one class. A null doc_id takes part, comes last, and is class_id only
     if the class has no other. Repeated rows are copies like any other. A text of any length is signed and compared as a
     whole, by one task, which needs about 40 bytes of memory for each of its own. Other columns are not looked at.
+
+    Shorter texts are signed and cut into sets `piece_bytes` at a time; a worker needs about 100 times that. With `lean`
+    workers give back after each piece what they no longer need. Smaller pieces and giving back take more time and change
+    no result; without `lean` smaller pieces take more memory, as the C library keeps what lies between arrays.
     """
+    sign, collect = (partial(work, piece_bytes=piece_bytes, lean=lean) for work in (_sign, _collect))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stored(rows.mapInArrow(_sign, "row long, doc_id long, digest binary, bands array<long>"), "signatures")
+    signed = stored(rows.mapInArrow(sign, "row long, doc_id long, digest binary, bands array<long>"), "signatures")
     # One node for each different text.
     texts = stored(signed.groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("least")), "texts")
     banded = signed.join(texts.select(F.col("node").alias("row")), "row", "left_semi")
@@ -203,10 +211,10 @@ def classes(docs: DataFrame) -> DataFrame:
 
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = stored(texts.join(nodes, "node"), "needed")
-    read = find_texts(docs, needed).mapInArrow(_collect, "node long, size int, windows array<long>")
+    read = find_texts(docs, needed).mapInArrow(collect, "node long, size int, windows array<long>")
     sets = stored(read.dropDuplicates(["node"]), "sets")
 
-    links = stored(_linked(pairs, sets), "links")
+    links = stored(_linked(pairs, sets, lean), "links")
     roots = components(links)
     # The pivot has met all members. Others that are still apart are compared with each other, where the bucket is.
     placed = star.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -231,12 +239,12 @@ def classes(docs: DataFrame) -> DataFrame:
     return out.select("row", "doc_id", "digest", "class_id", "class_rows", (F.col("row") == F.col("stays")).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each class; all columns stay.
+def keep_one(docs: DataFrame, piece_bytes: int = CHUNK_BYTES, lean: bool = False) -> DataFrame:
+    """`docs` with one row of each class; all columns stay. `piece_bytes` and `lean` are those of `classes`.
 
     Rows are told apart by id and text, so of rows that share both any one may stay.
     """
-    placed = stored(classes(docs), "kept")
+    placed = stored(classes(docs, piece_bytes, lean), "kept")
     same = placed.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     same = stored(same.where("not kept or n > 1"), "dropped")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")

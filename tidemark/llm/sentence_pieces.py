@@ -282,11 +282,12 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
-def with_pieces(docs: DataFrame, text: str = "text", path: str = MODEL, batch_bytes: int = CHUNK_BYTES) -> DataFrame:
+def with_pieces(docs: DataFrame, text: str = "text", path: str = MODEL, batch_bytes: int = CHUNK_BYTES, lean: bool = False) -> DataFrame:
     """Add `piece_ids`, `n_pieces` and `decoded` to every row; all other columns stay, and columns of these names go.
 
     Texts are indexed `batch_bytes` at a time, a longer one by itself; a worker needs about 100 times that, so smaller
-    batches take less memory, and more time, since equal segments are matched once a batch.
+    batches take less memory, and more time, since equal segments are matched once a batch. With `lean` workers give back
+    after each batch what they no longer need.
 
     Null and empty texts have no pieces and decode to the empty text. Rows are independent: repeated rows give repeated
     results, an empty table an empty one.
@@ -297,7 +298,7 @@ def with_pieces(docs: DataFrame, text: str = "text", path: str = MODEL, batch_by
     schema = T.StructType([*rows.schema.fields, *fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, limit=batch_bytes):
+        for part in slices(batches, text, limit=batch_bytes, lean=lean):
             ids, counts = encode(part.column(text), path)
             extra = [_lists(ids, counts), pa.array(counts, pa.int64()), decode(ids, counts, path)]
             yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, *added])
